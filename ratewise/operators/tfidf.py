@@ -159,16 +159,18 @@ def corpus_report(
     lengths: Sequence[int] = (1, 2, 3, 4),
     k: int = 5,
     lemmas: DataFrame | None = None,
+    removal: Sequence[bool] = (True, False),
 ) -> tuple[DataFrame, DataFrame]:
     """Top-term and association reports for each n, with and without stop-word removal."""
     tops, associations = [], []
     for n in lengths:
-        for words in (tuple(stop_words), ()):
+        for removed in removal:
+            words = tuple(stop_words) if removed else ()
             spec = TermSpec(n, n, stop_words=words)
             counted = count_terms(tokenize(reviews, words, lemmas), n, n)
             frequency = fit_frequency(counted, spec)
             scores = checkpointed(term_scores(weigh(counted, frequency)))
-            tag = {"n": F.lit(n), "stop_words_removed": F.lit(bool(words))}
+            tag = {"n": F.lit(n), "stop_words_removed": F.lit(removed)}
             size = frequency.agg(F.count(F.lit(1))).scalar()
             tops.append(top_terms(scores, size, k).withColumns(tag))
             associations.append(associated_terms(scores, k).withColumns(tag))

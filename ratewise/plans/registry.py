@@ -1,8 +1,8 @@
 """All registered queries."""
 
-from ratewise.plans import explore_queries
+from ratewise.plans import explore_queries, text_queries
 
-_MODULES = (explore_queries,)
+_MODULES = (explore_queries, text_queries)
 
 
 def queries():
