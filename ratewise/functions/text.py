@@ -38,17 +38,18 @@ def without(tokens: Column, words: Sequence[str]) -> Column:
 def ngrams(tokens: Column, n: int) -> Column:
     """Space-joined runs of ``n`` tokens; empty when there are fewer.
 
-    Give a plain column, not an expression: the array is read once per gram.
+    The shifted arrays are arguments of ``zip_with``. A lambda that indexed into
+    ``tokens`` would recompute it per element once the optimiser inlines it.
     """
     if n not in range(1, 10):
         raise ValueError("the length of an n-gram must be 1 to 9")
-    if n == 1:
-        return tokens
-    heads = F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - (n - 1), F.lit(0)))
-    return F.transform(
-        heads,
-        lambda t, i: F.concat_ws(" ", t, *[F.get(tokens, i + F.lit(k)) for k in range(1, n)]),
-    )
+    length = F.greatest(F.size(tokens) - (n - 1), F.lit(0))
+    grams = F.slice(tokens, F.lit(1), length) if n > 1 else tokens
+    for k in range(2, n + 1):
+        grams = F.zip_with(
+            grams, F.slice(tokens, F.lit(k), length), lambda head, t: F.concat_ws(" ", head, t)
+        )
+    return grams
 
 
 def ngram_range(tokens: Column, lo: int, hi: int) -> Column:
@@ -57,31 +58,34 @@ def ngram_range(tokens: Column, lo: int, hi: int) -> Column:
     return grams[0] if len(grams) == 1 else F.concat(*grams)
 
 
-def term_counts(grams: str) -> tuple[dict[str, Column], dict[str, Column], dict[str, Column]]:
-    """Three projection steps that turn array column ``grams`` into ``terms``.
+def term_counts(grams: str) -> tuple[dict[str, Column], ...]:
+    """Projection steps that turn array column ``grams`` into ``terms``.
 
     The array is sorted, the start of each run of equal entries is located, and
-    each run becomes one ``struct<term, tf>``. They are separate steps so that
-    each array exists as a column before a lambda reads from it.
+    each run becomes one ``struct<term, tf>``. Neighbours meet by zipping the
+    array with itself shifted by one, so that no lambda reads a whole array.
     """
     ordered = {"_sorted": F.sort_array(grams)}
     starts = {
         "_starts": F.filter(
-            F.transform(
-                "_sorted",
-                lambda t, i: F.when((i == 0) | (F.get("_sorted", i - 1) != t), i),
+            F.zip_with(
+                F.transform("_sorted", lambda t, i: F.struct(t.alias("term"), i.alias("at"))),
+                F.concat(F.array(F.lit(None).cast("string")), F.col("_sorted")),
+                lambda this, previous: F.when(
+                    previous.isNull() | (this.getField("term") != previous), this
+                ),
             ),
-            lambda i: i.isNotNull(),
+            lambda run: run.isNotNull(),
         )
     }
+    end = F.struct(F.lit(None).cast("string").alias("term"), F.size("_sorted").alias("at"))
     terms = {
-        "terms": F.transform(
+        "terms": F.zip_with(
             "_starts",
-            lambda start, j: F.struct(
-                F.get("_sorted", start).alias("term"),
-                (F.coalesce(F.get("_starts", j + 1), F.size("_sorted")) - start)
-                .cast("bigint")
-                .alias("tf"),
+            F.slice(F.concat(F.col("_starts"), F.array(end)), F.lit(2), F.size("_starts")),
+            lambda this, following: F.struct(
+                this.getField("term").alias("term"),
+                (following.getField("at") - this.getField("at")).cast("bigint").alias("tf"),
             ),
         )
     }
