@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.common import _py2java
 from pyspark.ml.feature import (
@@ -40,6 +41,7 @@ from pyspark.sql import types as T
 
 from ratewise.functions.stopwords import english_stop_words
 from ratewise.functions.text import ngram_range, word_tokens
+from ratewise.operators.joins import lookup_join
 from ratewise.operators.ordering import with_position
 from ratewise.operators.tfidf import TermSpec, count_terms, document_frequency
 
@@ -60,21 +62,15 @@ def select_item(reviews: DataFrame, key: str, as_map: bool = False) -> DataFrame
 
 
 def categories(train: DataFrame, column: str) -> DataFrame:
-    """(value, idx): distinct values in alphabetical order."""
-    return with_position(train.select(F.col(column).alias("value")).distinct(), ["value"], "idx", start=0)
+    """(value, n, idx): distinct values in alphabetical order with their frequency."""
+    counts = train.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    return with_position(counts, ["value"], "idx", start=0)
 
 
 def one_hot_cells(reviews: DataFrame, column: str, known: DataFrame) -> DataFrame:
-    """(id, idx, value = 1); a value unseen in fit leaves no cell.
-
-    The join needs no key statistics: the fact side carries one short row per
-    review and adaptive execution splits a hot value.
-    """
-    return (
-        reviews.select("id", F.col(column).alias("value"))
-        .join(known, "value")
-        .select("id", "idx", F.lit(1.0).alias("value"))
-    )
+    """(id, idx, value = 1); a value unseen in fit leaves no cell."""
+    facts = reviews.select("id", F.col(column).alias("value"))
+    return lookup_join(facts, known, "value", "n").select("id", "idx", F.lit(1.0).alias("value"))
 
 
 def weighted_blocks(blocks: Mapping[str, DataFrame], weights: Mapping[str, float]) -> DataFrame:
@@ -195,7 +191,7 @@ class OneHotBlock(Estimator):
         self.input, self.output, self.weight = inputCol, outputCol, weight
 
     def _fit(self, df: DataFrame) -> PipelineModel:
-        n = df.select(self.input).distinct().limit(MAX_DRIVER_ENTRIES + 1).count()
+        n = df.select(self.input).distinct().count()
         if n > MAX_DRIVER_ENTRIES:
             raise ValueError(f"more than {MAX_DRIVER_ENTRIES} values of {self.input}: use one_hot_cells")
         name = self.output if self.weight == 1 else f"{self.output}_unit"
@@ -220,14 +216,18 @@ class TruncatedSVD(Estimator):
         self.k, self.input, self.output = int(k), inputCol, outputCol
 
     def _fit(self, df: DataFrame) -> PCAModel:
-        rows = MLUtils.convertVectorColumnsFromML(df.select(self.input), self.input)
-        matrix = RowMatrix(rows)
-        n = matrix.numCols()
-        k = min(self.k, n)
-        if n * k > MAX_DRIVER_CELLS:
-            raise ValueError(f"{n} features x {k} components exceed {MAX_DRIVER_CELLS} driver cells")
-        svd = matrix.computeSVD(k)
-        v = svd.V.toArray()
+        # Each Lanczos step is a pass over the rows: keep them on the executors.
+        kept = df.select(self.input).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            matrix = RowMatrix(MLUtils.convertVectorColumnsFromML(kept, self.input))
+            n = matrix.numCols()
+            k = min(self.k, n)
+            if n * k > MAX_DRIVER_CELLS:
+                raise ValueError(f"{n} features x {k} components exceed {MAX_DRIVER_CELLS} driver cells")
+            svd = matrix.computeSVD(k)
+            v = svd.V.toArray()
+        finally:
+            kept.unpersist()
         sc = df.sparkSession.sparkContext
         # PCAModel multiplies by its matrix and does not centre.
         java_model = sc._jvm.org.apache.spark.ml.feature.PCAModel(
@@ -235,7 +235,8 @@ class TruncatedSVD(Estimator):
             _py2java(sc, DenseMatrix(v.shape[0], v.shape[1], v.flatten("F"))),
             _py2java(sc, DenseVector(svd.s.toArray())),
         )
-        return PCAModel(java_model).setInputCol(self.input).setOutputCol(self.output)
+        model = PCAModel(java_model)._set(k=v.shape[1])
+        return model.setInputCol(self.input).setOutputCol(self.output)
 
 
 class SelectKBest(Estimator):

@@ -6,13 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 300_000
+BROADCAST_KEY_BYTES = 64 << 20
 HOT_ROWS = 100_000
 _SALTS = 4096
 
 
-def fits_broadcast(dim: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether ``dim`` has at most ``limit`` rows; stops counting just past the limit."""
-    return dim.limit(limit + 1).count() <= limit
+def fits_broadcast(
+    dim: DataFrame, key: str, rows: int = BROADCAST_ROWS, key_bytes: int = BROADCAST_KEY_BYTES
+) -> bool:
+    """Whether ``dim`` is small both in rows and in bytes of its string key (one aggregate)."""
+    size = dim.agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.octet_length(key)), F.lit(0)).alias("bytes")
+    ).first()
+    return size.rows <= rows and size.bytes <= key_bytes
 
 
 def lookup_join(
@@ -31,7 +37,7 @@ def lookup_join(
     the facts. Rows that found a hot key travel under a salted key that matches
     nothing, so they spread evenly. ``dim`` should be materialised.
     """
-    if fits_broadcast(dim, broadcast_rows):
+    if fits_broadcast(dim, key, broadcast_rows):
         return facts.join(F.broadcast(dim), key)
     payload = [c for c in dim.columns if c != key]
     packed = dim.select(key, F.struct(*payload).alias("_cold"))

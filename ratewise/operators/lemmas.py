@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.operators.joins import BROADCAST_ROWS, fits_broadcast
+from ratewise.operators.joins import fits_broadcast
 
 # English noun endings and what replaces them.
 NOUN_ENDINGS = (
@@ -65,15 +65,16 @@ def lemmatize(tokens: DataFrame, lemmas: DataFrame, column: str = "tokens") -> D
 
     One text is regrouped from its own tokens only. The rows are co-located by
     ``id`` before they are exploded, so a broadcast lemma table costs no second
-    shuffle; a larger one is joined by token.
+    shuffle. A larger one (materialise it) is joined by token, and adaptive
+    execution splits the partitions of frequent tokens.
     """
     rest = [c for c in tokens.columns if c not in ("id", column)]
-    placed = tokens.repartition("id").select("id", F.posexplode_outer(column).alias("_pos", "_form"))
+    small = fits_broadcast(lemmas, "form")
     table = lemmas.select(F.col("form").alias("_form"), "lemma")
-    if fits_broadcast(lemmas, BROADCAST_ROWS):
-        joined = placed.join(F.broadcast(table), "_form", "left")
-    else:
-        joined = placed.join(table, "_form", "left")
+    placed = (tokens.repartition("id") if small else tokens).select(
+        "id", F.posexplode_outer(column).alias("_pos", "_form")
+    )
+    joined = placed.join(F.broadcast(table) if small else table, "_form", "left")
     regrouped = joined.groupBy("id").agg(
         F.array_sort(
             F.collect_list(

@@ -86,30 +86,42 @@ def vocabulary(frequency: DataFrame) -> DataFrame:
     return with_position(frequency, ["term"], "idx", start=0)
 
 
-def weigh(counted: DataFrame, frequency: DataFrame) -> DataFrame:
+def _weights(cells: DataFrame) -> DataFrame:
+    raw = F.col("tf") * F.col("idf")
+    norm = F.sqrt(F.sum(raw * raw).over(Window.partitionBy("id")))
+    return cells.withColumn("value", raw / norm)
+
+
+def _counted(reviews: DataFrame, spec: TermSpec, lemmas: DataFrame | None) -> DataFrame:
+    return count_terms(tokenize(reviews, spec.stop_words, lemmas), spec.lo, spec.hi)
+
+
+def weigh(
+    reviews: DataFrame, spec: TermSpec, frequency: DataFrame, lemmas: DataFrame | None = None
+) -> DataFrame:
     """TF-IDF cells with rows of norm 1; terms outside ``frequency`` are dropped.
 
-    ``frequency`` must be materialised. When it is broadcast, texts are
+    ``frequency`` must be materialised. When it is broadcast, the texts are
     co-located by id while they are still whole, and the norm needs no shuffle
     of the exploded terms.
     """
-    if fits_broadcast(frequency):
-        cells = _exploded(counted.repartition("id")).join(F.broadcast(frequency), "term")
-    else:
-        cells = lookup_join(_exploded(counted), frequency, "term", "df")
-    raw = F.col("tf") * F.col("idf")
-    norm = F.sqrt(F.sum(raw * raw).over(Window.partitionBy("id")))
-    return cells.withColumn("value", raw / norm)
+    if fits_broadcast(frequency, "term"):
+        cells = _exploded(_counted(reviews.repartition("id"), spec, lemmas))
+        return _weights(cells.join(F.broadcast(frequency), "term"))
+    cells = _exploded(_counted(reviews, spec, lemmas))
+    return _weights(lookup_join(cells, frequency, "term", "df"))
 
 
-def fit_frequency(counted: DataFrame, spec: TermSpec = TermSpec()) -> DataFrame:
-    return checkpointed(document_frequency(counted, spec))
+def fit_frequency(
+    reviews: DataFrame, spec: TermSpec, lemmas: DataFrame | None = None
+) -> DataFrame:
+    """Document frequencies of a corpus, written once."""
+    return checkpointed(document_frequency(_counted(reviews, spec, lemmas), spec))
 
 
 def tfidf(reviews: DataFrame, spec: TermSpec, lemmas: DataFrame | None = None) -> DataFrame:
     """(id, other columns, term, tf, df, df_ratio, idf, value) of one corpus."""
-    counted = count_terms(tokenize(reviews, spec.stop_words, lemmas), spec.lo, spec.hi)
-    return weigh(counted, fit_frequency(counted, spec))
+    return weigh(reviews, spec, fit_frequency(reviews, spec, lemmas), lemmas)
 
 
 # --- reports ------------------------------------------------------------------------
@@ -167,9 +179,8 @@ def corpus_report(
         for removed in removal:
             words = tuple(stop_words) if removed else ()
             spec = TermSpec(n, n, stop_words=words)
-            counted = count_terms(tokenize(reviews, words, lemmas), n, n)
-            frequency = fit_frequency(counted, spec)
-            scores = checkpointed(term_scores(weigh(counted, frequency)))
+            frequency = fit_frequency(reviews, spec, lemmas)
+            scores = checkpointed(term_scores(weigh(reviews, spec, frequency, lemmas)))
             tag = {"n": F.lit(n), "stop_words_removed": F.lit(removed)}
             size = frequency.agg(F.count(F.lit(1))).scalar()
             tops.append(top_terms(scores, size, k).withColumns(tag))

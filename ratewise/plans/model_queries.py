@@ -150,7 +150,7 @@ def mlp_learning_curve(spark, sf_dir):
 
 @register("grid_search")
 def grid_search(spark, sf_dir):
-    grid = [U._candidate({"c": c}, (), lambda: [], U._lr(c, True)) for c in (0.1, 1.0, 10.0)]
+    grid = [U.candidate({"c": c}, (), lambda: [], U.lr(c, True)) for c in (0.1, 1.0, 10.0)]
     return U.grid_search(_content_features(spark, sf_dir), grid).summary
 
 
@@ -158,7 +158,7 @@ def grid_search(spark, sf_dir):
 def repeated_holdout(spark, sf_dir):
     rows = checkpointed(_labelled(spark, sf_dir).select("id", "content", "rating", "label"))
     grid = [
-        U._candidate({"ngram": n}, ("ngram",), lambda n=n: P.content_stages(n, min_df=0.01), U._lr(1.0, False))
+        U.candidate({"ngram": n}, ("ngram",), lambda n=n: P.content_stages(n, min_df=0.01), U.lr(1.0, False))
         for n in (1, 2)
     ]
     return U.repeated_holdout(rows, grid, (1, 2), test_size=0.2)

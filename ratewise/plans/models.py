@@ -99,7 +99,8 @@ class Curve:
 def batch_table(df: DataFrame, batch_size: int) -> tuple[str, int]:
     """Rows written by batch, so that a step reads its own batch only; (path, batches)."""
     path = scratch_path(df.sparkSession, "batches")
-    numbered_batches(df, batch_size).repartition("batch_no").write.partitionBy("batch_no").parquet(path)
+    # The rows are already sorted by batch, so a task touches a batch or two.
+    numbered_batches(df, batch_size).write.partitionBy("batch_no").parquet(path)
     stored = df.sparkSession.read.parquet(path)
     last = stored.agg(F.max("batch_no").alias("m")).first().m
     return path, 0 if last is None else int(last) + 1
