@@ -1,8 +1,4 @@
-"""Tokens, n-grams and in-row term counts as Spark array expressions.
-
-Term frequencies are counted inside the row of their document, so a corpus is
-never shuffled by (document, term).
-"""
+"""Tokens and n-grams as Spark array expressions."""
 
 from __future__ import annotations
 
@@ -57,36 +53,3 @@ def ngram_range(tokens: Column, lo: int, hi: int) -> Column:
     grams = [ngrams(tokens, n) for n in range(lo, hi + 1)]
     return grams[0] if len(grams) == 1 else F.concat(*grams)
 
-
-def term_counts(grams: str) -> tuple[dict[str, Column], ...]:
-    """Projection steps that turn array column ``grams`` into ``terms``.
-
-    The array is sorted, the start of each run of equal entries is located, and
-    each run becomes one ``struct<term, tf>``. Neighbours meet by zipping the
-    array with itself shifted by one, so that no lambda reads a whole array.
-    """
-    ordered = {"_sorted": F.sort_array(grams)}
-    starts = {
-        "_starts": F.filter(
-            F.zip_with(
-                F.transform("_sorted", lambda t, i: F.struct(t.alias("term"), i.alias("at"))),
-                F.concat(F.array(F.lit(None).cast("string")), F.col("_sorted")),
-                lambda this, previous: F.when(
-                    previous.isNull() | (this.getField("term") != previous), this
-                ),
-            ),
-            lambda run: run.isNotNull(),
-        )
-    }
-    end = F.struct(F.lit(None).cast("string").alias("term"), F.size("_sorted").alias("at"))
-    terms = {
-        "terms": F.zip_with(
-            "_starts",
-            F.slice(F.concat(F.col("_starts"), F.array(end)), F.lit(2), F.size("_starts")),
-            lambda this, following: F.struct(
-                this.getField("term").alias("term"),
-                (following.getField("at") - this.getField("at")).cast("bigint").alias("tf"),
-            ),
-        )
-    }
-    return ordered, starts, terms

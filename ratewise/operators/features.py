@@ -43,7 +43,7 @@ from ratewise.functions.stopwords import english_stop_words
 from ratewise.functions.text import ngram_range, word_tokens
 from ratewise.operators.joins import lookup_join
 from ratewise.operators.ordering import with_position
-from ratewise.operators.tfidf import TermSpec, count_terms, document_frequency
+from ratewise.operators.tfidf import TermSpec, document_frequency
 
 ITEMS = ("content", "product", "author")
 MAX_DRIVER_ENTRIES = 4_000_000
@@ -147,6 +147,7 @@ class TfidfVectorizer(Estimator):
     size: at most (mean distinct terms per text) / ``min_df`` terms.
     """
 
+    # ``spec.lo`` must be 1: the vectors hold all n-grams up to ``spec.hi``.
     def __init__(self, spec: TermSpec, inputCol: str = "content", outputCol: str = "ft_content", weight: float = 1.0):
         super().__init__()
         self.spec, self.input, self.output, self.weight = spec, inputCol, outputCol, weight
@@ -159,8 +160,7 @@ class TfidfVectorizer(Estimator):
                 StopWordsRemover(inputCol=f"{out}_tokens", outputCol=f"{out}_kept", stopWords=list(self.spec.stop_words), caseSensitive=True)
             )
         last = stages[-1].getOutputCol()
-        tokens = PipelineModel(stages).transform(df.select(self.input)).select(F.col(last).alias("tokens"))
-        frequency = document_frequency(count_terms(tokens, 1, self.spec.hi), self.spec)
+        frequency = document_frequency(df.select(F.col(self.input).alias("content")), self.spec)
         rows = sorted(_bounded(frequency.select("term", "idf"), MAX_DRIVER_ENTRIES, "terms"))
         if not rows:
             raise ValueError("no term is left after the document-frequency limits")

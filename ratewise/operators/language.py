@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewise.functions.stopwords import LANGUAGES, stop_words
@@ -17,6 +17,10 @@ def default_lists() -> dict[str, Sequence[str]]:
     return {language: stop_words(language) for language in LANGUAGES}
 
 
+def _in(words: Column | str, members: Sequence[str]) -> Column:
+    return F.filter(words, lambda w: w.isin(list(members)))
+
+
 def detect_language(
     reviews: DataFrame, lists: Mapping[str, Sequence[str]] | None = None
 ) -> DataFrame:
@@ -27,8 +31,11 @@ def detect_language(
     """
     lists = lists or default_lists()
     names = sorted(lists)
-    hits = {f"_hits_{name}": F.size(F.array_intersect("_words", F.array(*map(F.lit, lists[name])))) for name in names}
-    counted = reviews.withColumn("_words", wordpunct_tokens(F.col("content"))).withColumns(hits)
+    every = sorted({w for words in lists.values() for w in words})
+    hits = {f"_hits_{name}": F.size(_in("_words", lists[name])) for name in names}
+    words = wordpunct_tokens(F.col("content"))
+    # Most tokens are in no list: one pass drops them before the lists are tried.
+    counted = reviews.withColumn("_words", F.array_distinct(_in(words, every))).withColumns(hits)
     best = counted.withColumn("n_hits", F.greatest(*hits) if len(hits) > 1 else F.col(next(iter(hits))))
     language = F.when(F.col("n_hits") == 0, UNKNOWN)
     for name in names:

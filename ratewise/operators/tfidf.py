@@ -13,8 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratewise.functions.text import ngram_range, ngrams, term_counts, without, word_tokens
-from ratewise.operators.joins import fits_broadcast, lookup_join
+from ratewise.functions.text import ngram_range, ngrams, without, word_tokens
+from ratewise.operators.joins import lookup_join
 from ratewise.operators.lemmas import lemmatize
 from ratewise.operators.ordering import with_position
 from ratewise.session import checkpointed
@@ -44,30 +44,45 @@ def tokenize(
     return tokens.withColumn("tokens", without(F.col("tokens"), stop_words)) if stop_words else tokens
 
 
-def count_terms(tokens: DataFrame, lo: int, hi: int) -> DataFrame:
-    """Replace ``tokens`` by ``terms``: (term, tf) pairs counted inside each row."""
-    df = tokens.withColumn("_grams", ngram_range(F.col("tokens"), lo, hi)).drop("tokens")
-    for step in term_counts("_grams"):
-        df = df.withColumns(step)
-    return df.drop("_grams", "_sorted", "_starts")
+def _grams(reviews: DataFrame, spec: TermSpec, lemmas: DataFrame | None) -> DataFrame:
+    tokens = tokenize(reviews, spec.stop_words, lemmas)
+    return tokens.withColumn("_grams", ngram_range(F.col("tokens"), spec.lo, spec.hi)).drop("tokens")
 
 
-def _exploded(df: DataFrame) -> DataFrame:
+def _exploded(df: DataFrame, array: Column) -> DataFrame:
     # The outer form, because for the plain one the optimiser adds a filter on
     # the array and computes the whole array a second time for it.
-    others = [c for c in df.columns if c != "terms"]
-    return df.select(*others, F.inline_outer("terms")).where(F.col("term").isNotNull())
+    others = [c for c in df.columns if c != "_grams"]
+    return df.select(*others, F.explode_outer(array).alias("term")).where(F.col("term").isNotNull())
+
+
+def term_counts(
+    reviews: DataFrame, spec: TermSpec = TermSpec(), lemmas: DataFrame | None = None
+) -> DataFrame:
+    """(id, other columns, term, tf). Texts are co-located by id while they are
+    whole, so counting the exploded terms, and any later grouping by id, needs no
+    further shuffle.
+    """
+    exploded = _exploded(_grams(reviews.repartition("id"), spec, lemmas), F.col("_grams"))
+    return exploded.groupBy(*exploded.columns).agg(F.count(F.lit(1)).alias("tf"))
 
 
 def idf(n_docs: Column, df: Column) -> Column:
     return F.log((n_docs + 1) / (df + 1)) + 1
 
 
-def document_frequency(counted: DataFrame, spec: TermSpec = TermSpec()) -> DataFrame:
-    """(term, df, df_ratio, idf) of the terms within the document-frequency limits."""
-    total = counted.agg(F.count(F.lit(1))).scalar()
+def document_frequency(
+    reviews: DataFrame, spec: TermSpec = TermSpec(), lemmas: DataFrame | None = None
+) -> DataFrame:
+    """(term, df, df_ratio, idf) of the terms within the document-frequency limits.
+
+    Each text emits its distinct terms; partial sums leave one row per term and
+    task before the shuffle.
+    """
+    total = reviews.agg(F.count(F.lit(1))).scalar()
+    grams = _grams(reviews, spec, lemmas).select("_grams")
     return (
-        _exploded(counted.select("terms"))
+        _exploded(grams, F.array_distinct("_grams"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))
         .withColumn("_n", total)
@@ -86,37 +101,26 @@ def vocabulary(frequency: DataFrame) -> DataFrame:
     return with_position(frequency, ["term"], "idx", start=0)
 
 
-def _weights(cells: DataFrame) -> DataFrame:
-    raw = F.col("tf") * F.col("idf")
-    norm = F.sqrt(F.sum(raw * raw).over(Window.partitionBy("id")))
-    return cells.withColumn("value", raw / norm)
-
-
-def _counted(reviews: DataFrame, spec: TermSpec, lemmas: DataFrame | None) -> DataFrame:
-    return count_terms(tokenize(reviews, spec.stop_words, lemmas), spec.lo, spec.hi)
-
-
 def weigh(
     reviews: DataFrame, spec: TermSpec, frequency: DataFrame, lemmas: DataFrame | None = None
 ) -> DataFrame:
     """TF-IDF cells with rows of norm 1; terms outside ``frequency`` are dropped.
 
-    ``frequency`` must be materialised. When it is broadcast, the texts are
-    co-located by id while they are still whole, and the norm needs no shuffle
-    of the exploded terms.
+    ``frequency`` must be materialised. While it is small enough to broadcast,
+    the norm is taken where the terms were counted; otherwise the cells go
+    through one shuffle by term and one by id.
     """
-    if fits_broadcast(frequency, "term"):
-        cells = _exploded(_counted(reviews.repartition("id"), spec, lemmas))
-        return _weights(cells.join(F.broadcast(frequency), "term"))
-    cells = _exploded(_counted(reviews, spec, lemmas))
-    return _weights(lookup_join(cells, frequency, "term", "df"))
+    cells = lookup_join(term_counts(reviews, spec, lemmas), frequency, "term", "df")
+    raw = F.col("tf") * F.col("idf")
+    norm = F.sqrt(F.sum(raw * raw).over(Window.partitionBy("id")))
+    return cells.withColumn("value", raw / norm)
 
 
 def fit_frequency(
     reviews: DataFrame, spec: TermSpec, lemmas: DataFrame | None = None
 ) -> DataFrame:
     """Document frequencies of a corpus, written once."""
-    return checkpointed(document_frequency(_counted(reviews, spec, lemmas), spec))
+    return checkpointed(document_frequency(reviews, spec, lemmas))
 
 
 def tfidf(reviews: DataFrame, spec: TermSpec, lemmas: DataFrame | None = None) -> DataFrame:

@@ -181,9 +181,8 @@ def lemmas(spark, sf_dir):
 # --- terms ----------------------------------------------------------------------
 
 
-def _counted(spark: SparkSession, sf_dir: str, lo: int, hi: int, stop: bool) -> DataFrame:
-    reviews = review_text(spark, sf_dir).select("id", "rating", "content")
-    return V.count_terms(V.tokenize(reviews, english_stop_words() if stop else ()), lo, hi)
+def _reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return review_text(spark, sf_dir).select("id", "content")
 
 
 @register(
@@ -192,8 +191,8 @@ def _counted(spark: SparkSession, sf_dir: str, lo: int, hi: int, stop: bool) ->
     FROM vocab""",
 )
 def document_frequency(spark, sf_dir):
-    counted = _counted(spark, sf_dir, 1, 1, True)
-    return _rounded(V.document_frequency(counted), "df_ratio", "idf")
+    spec = V.TermSpec(stop_words=english_stop_words())
+    return _rounded(V.document_frequency(_reviews(spark, sf_dir), spec), "df_ratio", "idf")
 
 
 _VOCAB = V.TermSpec(1, 2, 0.003, 0.3, english_stop_words())
@@ -205,8 +204,8 @@ _VOCAB = V.TermSpec(1, 2, 0.003, 0.3, english_stop_words())
     SELECT term, df, round(idf, 6) AS idf, row_number() OVER (ORDER BY term) - 1 AS idx FROM vocab""",
 )
 def vocabulary(spark, sf_dir):
-    counted = _counted(spark, sf_dir, 1, 2, True)
-    return _rounded(V.vocabulary(V.document_frequency(counted, _VOCAB)).drop("df_ratio"), "idf")
+    frequency = V.document_frequency(_reviews(spark, sf_dir), _VOCAB)
+    return _rounded(V.vocabulary(frequency).drop("df_ratio"), "idf")
 
 
 @register(
@@ -284,13 +283,9 @@ def ngram_rank_curve(spark, sf_dir):
 )
 def unseen_terms_dropped(spark, sf_dir):
     """Per test text: distinct terms, and how many of them the training vocabulary knows."""
-    train, test = holdout(_counted(spark, sf_dir, 1, 1, False))
+    train, test = holdout(_reviews(spark, sf_dir))
     seen = checkpointed(V.document_frequency(train).select("term", "df"))
-    cells = test.select("id", F.inline_outer("terms")).where(F.col("term").isNotNull())
+    cells = V.term_counts(test)
+    every = cells.groupBy("id").agg(F.count(F.lit(1)).alias("n_terms"), F.sum("tf").alias("n_words"))
     known = V.lookup_join(cells, seen, "term", "df").groupBy("id").agg(F.count(F.lit(1)).alias("n_known"))
-    every = test.select(
-        "id",
-        F.size("terms").cast("bigint").alias("n_terms"),
-        F.aggregate("terms", F.lit(0).cast("bigint"), lambda acc, t: acc + t.tf).alias("n_words"),
-    ).where("n_terms > 0")
     return every.join(known, "id", "left").withColumn("n_known", F.coalesce("n_known", F.lit(0)))
