@@ -165,7 +165,7 @@ class TfidfVectorizer(Estimator):
         if not rows:
             raise ValueError("no term is left after the document-frequency limits")
         stages.append(NGramRange(last, f"{out}_grams", self.spec.hi))
-        counts = CountVectorizerModel.from_vocabulary([r.term for r in rows], f"{out}_grams", f"{out}_tf")
+        counts = _count_vectorizer(df, [r.term for r in rows], f"{out}_grams", f"{out}_tf")
         stages.append(counts)
         stages.append(
             ElementwiseProduct(scalingVec=Vectors.dense([r.idf for r in rows]), inputCol=f"{out}_tf", outputCol=f"{out}_raw")
@@ -177,6 +177,15 @@ class TfidfVectorizer(Estimator):
         return PipelineModel(stages)
 
 
+def _count_vectorizer(df: DataFrame, terms: list[str], source: str, target: str) -> CountVectorizerModel:
+    # Terms hold no control characters, so one string carries them all; passing
+    # a list takes one call to the JVM per term.
+    jvm = df.sparkSession.sparkContext._jvm
+    vocabulary = jvm.java.util.regex.Pattern.compile("\u0001").split("\u0001".join(terms))
+    java_model = jvm.org.apache.spark.ml.feature.CountVectorizerModel(vocabulary)
+    return CountVectorizerModel(java_model).setInputCol(source).setOutputCol(target)
+
+
 def _scaled(source: str, target: str, weight: float, size: int) -> ElementwiseProduct:
     return ElementwiseProduct(
         scalingVec=Vectors.dense(np.full(size, float(weight))), inputCol=source, outputCol=target

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewise.functions.stopwords import LANGUAGES, stop_words
-from ratewise.functions.text import wordpunct_tokens
+from ratewise.functions.text import word_tokens, wordpunct_tokens
 
 UNKNOWN = "unknown"
 
@@ -17,8 +18,17 @@ def default_lists() -> dict[str, Sequence[str]]:
     return {language: stop_words(language) for language in LANGUAGES}
 
 
-def _in(words: Column | str, members: Sequence[str]) -> Column:
-    return F.filter(words, lambda w: w.isin(list(members)))
+def _word_array(words: Sequence[str]) -> Column:
+    # One string literal, folded to one array literal: a literal per word would
+    # cost more in planning than the query itself.
+    return F.split(F.lit("\n".join(words)), "\n")
+
+
+def _tokens(entries: Sequence[str]) -> Column:
+    """Lower-case tokens of ``content``; punctuation runs only if some list has one."""
+    if any(re.fullmatch(r"[^\w\s]+", entry) for entry in entries):
+        return wordpunct_tokens(F.col("content"))
+    return word_tokens(F.lower("content"))
 
 
 def detect_language(
@@ -32,10 +42,12 @@ def detect_language(
     lists = lists or default_lists()
     names = sorted(lists)
     every = sorted({w for words in lists.values() for w in words})
-    hits = {f"_hits_{name}": F.size(_in("_words", lists[name])) for name in names}
-    words = wordpunct_tokens(F.col("content"))
+    hits = {
+        f"_hits_{name}": F.size(F.array_intersect("_words", _word_array(lists[name]))) for name in names
+    }
     # Most tokens are in no list: one pass drops them before the lists are tried.
-    counted = reviews.withColumn("_words", F.array_distinct(_in(words, every))).withColumns(hits)
+    words = F.array_intersect(_tokens(every), _word_array(every))
+    counted = reviews.withColumn("_words", words).withColumns(hits)
     best = counted.withColumn("n_hits", F.greatest(*hits) if len(hits) > 1 else F.col(next(iter(hits))))
     language = F.when(F.col("n_hits") == 0, UNKNOWN)
     for name in names:

@@ -38,10 +38,7 @@ def _integer(text: Column) -> Column:
 
 
 def _first_problem(*checks: tuple[Column, str]) -> Column:
-    problem = F.lit(None).cast("string")
-    for bad, message in reversed(checks):
-        problem = F.when(bad, F.lit(message)).otherwise(problem)
-    return problem
+    return F.coalesce(*[F.when(bad, F.lit(message)) for bad, message in checks])
 
 
 def _parse_lines(df: DataFrame, n_lines: int, *extra_checks: tuple[Column, str]) -> DataFrame:
@@ -54,16 +51,16 @@ def _parse_lines(df: DataFrame, n_lines: int, *extra_checks: tuple[Column, str])
         for name, tag in zip(names[:n_lines], TAGS)
     ]
     if n_lines == TRAIN_LINES:
-        parts = F.split("_helpful", "/")
-        df = df.withColumn("_parts", parts).withColumn(
-            "helpful",
-            F.struct(
-                _integer(F.get("_parts", F.lit(0))).alias("positive"),
-                _integer(F.get("_parts", F.lit(1))).alias("total"),
-            ),
+        df = df.withColumn("_parts", F.split("_helpful", "/"))
+        df = df.withColumns(
+            {
+                "_positive": _integer(F.get("_parts", F.lit(0))),
+                "_total": _integer(F.get("_parts", F.lit(1))),
+                "rating": _integer(F.col("_rating")),
+            }
         )
-        df = df.withColumn("rating", _integer(F.col("_rating")))
-        positive, total = F.col("helpful.positive"), F.col("helpful.total")
+        positive, total = F.col("_positive"), F.col("_total")
+        df = df.withColumn("helpful", F.struct(positive.alias("positive"), total.alias("total")))
         checks += [
             (F.size("_parts") != 2, "helpful must be two numbers with one slash"),
             (positive.isNull() | total.isNull(), "helpful must be two integers"),
