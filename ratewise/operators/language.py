@@ -24,6 +24,16 @@ def _word_array(words: Sequence[str]) -> Column:
     return F.split(F.lit("\n".join(words)), "\n")
 
 
+def _members(array: str, words: Sequence[str]) -> str:
+    """SQL text for the entries of ``array`` that are in ``words``, a hashed set in Spark.
+
+    As a lambda it stays out of the generated code, which fourteen set
+    intersections would push past the size the JVM compiles.
+    """
+    quoted = ", ".join("'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'" for w in words)
+    return f"filter({array}, w -> w IN ({quoted}))"
+
+
 def _tokens(entries: Sequence[str]) -> Column:
     """Lower-case tokens of ``content``; punctuation runs only if some list has one."""
     if any(re.fullmatch(r"[^\w\s]+", entry) for entry in entries):
@@ -42,9 +52,7 @@ def detect_language(
     lists = lists or default_lists()
     names = sorted(lists)
     every = sorted({w for words in lists.values() for w in words})
-    hits = {
-        f"_hits_{name}": F.size(F.array_intersect("_words", _word_array(lists[name]))) for name in names
-    }
+    hits = {f"_hits_{name}": F.size(F.expr(_members("_words", lists[name]))) for name in names}
     # Most tokens are in no list: one pass drops them before the lists are tried.
     words = F.array_intersect(_tokens(every), _word_array(every))
     counted = reviews.withColumn("_words", words).withColumns(hits)

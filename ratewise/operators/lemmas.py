@@ -39,7 +39,7 @@ def build_lemmas(
             F.struct(
                 F.lit(i).alias("rule"),
                 F.when(
-                    F.col("form").endswith(old) & (F.length("form") > len(old)),
+                    F.col("form").endswith(old),
                     F.concat(F.expr(f"left(form, length(form) - {len(old)})"), F.lit(new)),
                 ).alias("lemma"),
             )

@@ -164,7 +164,7 @@ def stopword_filter(spark, sf_dir):
     c AS (SELECT form, form AS lemma, 0 AS rule FROM w """
     + " ".join(
         f"UNION ALL SELECT form, left(form, length(form) - {len(a)}) || '{b}', {i} FROM w"
-        f" WHERE ends_with(form, '{a}') AND length(form) > {len(a)}"
+        f" WHERE ends_with(form, '{a}')"
         for i, (a, b) in enumerate(NOUN_ENDINGS, start=1)
     )
     + """), k AS (SELECT *, row_number() OVER (PARTITION BY form ORDER BY length(lemma), rule) AS r

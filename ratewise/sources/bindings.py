@@ -18,6 +18,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Distribute a text table that lies in fewer files than there are cores.
+
+    A file with one row group feeds one task, however it is split. A table in
+    many files is left as it is: its scan is parallel and texts are not moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores, key)
+
+
 def review_facts(
     spark: SparkSession, sf_dir: str, columns: Sequence[str] = FACT_COLUMNS
 ) -> DataFrame:
@@ -45,7 +55,7 @@ def review_facts(
 
 def review_text(spark: SparkSession, sf_dir: str, with_labels: bool = False) -> DataFrame:
     """Documents as reviews; ``label`` (quality) only on request, it needs a join."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
     reviews = docs.select(
         F.col("doc_id").alias("id"),
         F.concat(F.lit("u"), (F.col("doc_id") % 97).cast("string")).alias("author"),
