@@ -1,12 +1,9 @@
-"""Stop-word lists: the ones that ship with Spark, plus caller's additions."""
+"""Stop-word lists: those that ship with Spark MLlib, kept beside this module, plus caller's additions."""
 
 from __future__ import annotations
 
 import functools
-import pathlib
-import zipfile
-
-import pyspark
+from importlib import resources
 
 # Tokens added to the English list.
 EXTRA_ENGLISH = ("s", "t", "2", "m", "ve")
@@ -20,17 +17,11 @@ LANGUAGES = (
 
 @functools.cache
 def stop_words(language: str) -> tuple[str, ...]:
-    """Spark's list for a language, read from the MLlib jar so that no session is needed."""
+    """The list of a language; reading it needs no session."""
     if language not in LANGUAGES:
         raise ValueError(f"no stop words for {language!r}")
-    jars = pathlib.Path(pyspark.__file__).parent.joinpath("jars").glob("spark-mllib_*.jar")
-    for jar in jars:
-        with zipfile.ZipFile(jar) as archive:
-            raw = archive.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt")
-        return tuple(sorted({w.strip() for w in raw.decode("utf-8").splitlines() if w.strip()}))
-    from pyspark.ml.feature import StopWordsRemover
-
-    return tuple(sorted(set(StopWordsRemover.loadDefaultStopWords(language))))
+    raw = resources.files(__package__).joinpath("stopword_lists", f"{language}.txt").read_text(encoding="utf-8")
+    return tuple(sorted({w.strip() for w in raw.splitlines() if w.strip()}))
 
 
 def english_stop_words() -> tuple[str, ...]:
