@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import mixing
+from ratewise.llm import line_dedup, mixing
 
 QUERIES = {}
 ORACLE = {}
@@ -56,3 +56,26 @@ def op2_mixing(spark, sf_dir):
     """Weights 5, 2, 1 over the sources, all words shared out, at most 3 repetitions."""
     mixed = mixing.mix(documents(spark, sf_dir), weights=(5, 2, 1), budget=1.0, max_epochs=3.0, seed=17)
     return mixed.select("doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"))
+
+
+# --- op5: line dedup ---------------------------------------------------------------
+
+_ASCII_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_LINES_SQL = f"""WITH docs AS (SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+lines AS (SELECT row, i, lines[i] AS line,
+    {_ASCII_LOWER.format("trim(lines[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS key
+  FROM (SELECT row, lines, unnest(range(1, len(lines) + 1)) AS i FROM docs)),
+frequent AS (SELECT key FROM lines WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT row) >= 10),
+kept AS (SELECT row, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS text FROM lines
+  WHERE key NOT IN (SELECT key FROM frequent) GROUP BY row)
+SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - coalesce(n, 0) AS BIGINT) AS n_dropped,
+  sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (row)"""
+
+
+@register("op5_line_dedup", _LINES_SQL)
+def op5_line_dedup(spark, sf_dir):
+    """Lines whose key is in at least 10 documents are dropped everywhere."""
+    cleaned = line_dedup.drop_lines(documents(spark, sf_dir), min_docs=10, min_chars=1)
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
