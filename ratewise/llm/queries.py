@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import line_dedup, mixing
+from ratewise.llm import decontamination, line_dedup, mixing
 
 QUERIES = {}
 ORACLE = {}
@@ -79,3 +79,37 @@ def op5_line_dedup(spark, sf_dir):
     """Lines whose key is in at least 10 documents are dropped everywhere."""
     cleaned = line_dedup.drop_lines(documents(spark, sf_dir), min_docs=10, min_chars=1)
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+# --- op7: benchmark decontamination --------------------------------------------------
+
+_ALNUM_WORDS = f"regexp_extract_all({_ASCII_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+_LEAKS_SQL = f"""WITH docs AS (SELECT row_number() OVER () AS row, doc_id, {_ALNUM_WORDS} AS words FROM documents),
+items AS (SELECT item_id, {_ALNUM_WORDS} AS words FROM benchmark),
+wins AS (SELECT item_id, least(len(words), 10) AS n, array_to_string(words[i:i + least(len(words), 10) - 1], ' ') AS win
+  FROM (SELECT item_id, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i FROM items WHERE len(words) > 0)),
+lengths AS (SELECT DISTINCT n FROM wins),
+doc_wins AS (SELECT row, i, n, array_to_string(words[i:i + n - 1], ' ') AS win
+  FROM (SELECT row, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM docs, lengths WHERE len(words) >= n)),
+found AS (SELECT DISTINCT d.row, d.i, d.n, w.item_id FROM doc_wins d JOIN wins w ON d.n = w.n AND d.win = w.win),
+hit AS (SELECT row, count(DISTINCT p) AS n_hit FROM (SELECT row, unnest(range(i, i + n)) AS p FROM found) GROUP BY row),
+held AS (SELECT row, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT row, CAST(item_id AS VARCHAR) AS id FROM found) GROUP BY row)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (row) LEFT JOIN held USING (row)"""
+
+
+@register("op7_decontamination", _LEAKS_SQL)
+def op7_decontamination(spark, sf_dir):
+    """Spans of 10 words that documents share with benchmark items, by winnowed 5-grams."""
+    found = decontamination.scan(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), span=10, k=5)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
