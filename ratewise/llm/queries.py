@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import decontamination, line_dedup, mixing, near_dup
+from ratewise.llm import decontamination, line_dedup, mixing, near_dup, toxicity
 
 QUERIES = {}
 ORACLE = {}
@@ -133,3 +133,11 @@ FROM docs d LEFT JOIN sizes s USING (doc_id) JOIN (SELECT a, min(b) AS component
 def op10_near_dup(spark, sf_dir):
     """Components of documents whose sets of 3-word shingles have a Jaccard similarity of 0.85 or more."""
     return near_dup.near_duplicates(documents(spark, sf_dir), shingle=3, similarity=0.85)
+
+
+# --- op3: toxicity; no SQL twin, tested by held-out accuracy ---------------------------
+
+
+@register("op3_toxicity")
+def op3_toxicity(spark, sf_dir):
+    return toxicity.scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
