@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import decontamination, line_dedup, mixing, near_dup, toxicity
+from ratewise.llm import decontamination, line_dedup, mixing, near_dup, token_store, toxicity
+from ratewise.session import scratch_path
 
 QUERIES = {}
 ORACLE = {}
@@ -141,3 +142,19 @@ def op10_near_dup(spark, sf_dir):
 @register("op3_toxicity")
 def op3_toxicity(spark, sf_dir):
     return toxicity.scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+# --- op8: token ids; no SQL twin, tested by an exact round trip ------------------------
+
+
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@register("op8_token_ids")
+def op8_token_ids(spark, sf_dir):
+    path = scratch_path(spark, "tokens")
+    token_store.write_tokens(documents(spark, sf_dir), path, vocabulary(), end_id=1)
+    return token_store.with_crc32(token_store.read_tokens(spark, path))
