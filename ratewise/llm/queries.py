@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import decontamination, line_dedup, mixing, near_dup, token_store, toxicity
+from ratewise.llm import decontamination, line_dedup, mixing, near_dup, quality, token_store, toxicity
 from ratewise.session import scratch_path
 
 QUERIES = {}
@@ -158,3 +158,63 @@ def op8_token_ids(spark, sf_dir):
     path = scratch_path(spark, "tokens")
     token_store.write_tokens(documents(spark, sf_dir), path, vocabulary(), end_id=1)
     return token_store.with_crc32(token_store.read_tokens(spark, path))
+
+
+# --- op9: quality rules --------------------------------------------------------------
+
+_STRIPPED = "regexp_replace({0}, '[\\x20\\x09-\\x0D]', '', 'g')"
+
+
+def _bins_sql() -> str:
+    values = {
+        "symbol_share": "10000 * n_symbols // greatest(word_chars, 1)",
+        "dup_line_share": "10000 * n_dup_lines // greatest(n_lines, 1)",
+        "repeat_share": "10000 * n_repeat_words // greatest(n_words, 1)",
+        "word_length": "100 * word_chars // greatest(n_words, 1)",
+    }
+    rows = [
+        f"SELECT row, '{name}' AS measure, {least} AS spread, {low} AS low_fails, least({values[name]} // {width}, {quality.BINS - 1}) AS bin FROM rated"
+        for name, (width, least, low) in quality.MEASURES.items()
+    ]
+    return " UNION ALL ".join(rows)
+
+
+def _quartile_sql(group: str) -> str:
+    by = f"{group}, " if group else ""
+    return f"""(SELECT {by}measure, max(total) AS total, min(bin) FILTER (4 * upto >= total) AS q1, min(bin) FILTER (4 * upto >= 3 * total) AS q3
+      FROM (SELECT {by}measure, bin, sum(n) OVER (PARTITION BY {by}measure ORDER BY bin) AS upto, sum(n) OVER (PARTITION BY {by}measure) AS total
+        FROM (SELECT {by}measure, bin, count(*) AS n FROM good GROUP BY ALL)) GROUP BY {by}measure)"""
+
+
+_QUALITY_SQL = f"""WITH docs AS (SELECT row_number() OVER () AS row, doc_id, lang, source, coalesce(text, '') AS text,
+    {_WORD.format("coalesce(text, '')")} AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: length({_STRIPPED.format("x")}) > 0) AS lines FROM documents),
+wins AS (SELECT row, i, array_to_string(words[i:i + 7], ' ') AS win
+  FROM (SELECT row, words, unnest(range(1, len(words) - 6)) AS i FROM docs WHERE len(words) >= 8)),
+again AS (SELECT row, count(DISTINCT p) AS n FROM (
+  SELECT row, unnest(range(i, i + 8)) AS p FROM (SELECT row, i, count(*) OVER (PARTITION BY row, win) AS c FROM wins) WHERE c > 1) GROUP BY row),
+numbers AS (SELECT row, doc_id, lang, source, CAST(len(words) AS BIGINT) AS n_words, CAST(length({_STRIPPED.format("text")}) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, len(lines) AS n_lines
+  FROM docs LEFT JOIN again USING (row)),
+rated AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM numbers),
+binned AS ({_bins_sql()}),
+good AS (SELECT lang, source, measure, bin FROM binned JOIN rated USING (row) WHERE NOT base_failed),
+picked AS (SELECT s.lang, s.source, s.measure,
+    CASE WHEN s.total >= 50 THEN s.q1 WHEN l.total >= 50 THEN l.q1 ELSE a.q1 END AS q1,
+    CASE WHEN s.total >= 50 THEN s.q3 WHEN l.total >= 50 THEN l.q3 ELSE a.q3 END AS q3
+  FROM {_quartile_sql("lang, source")} s JOIN {_quartile_sql("lang")} l ON s.lang IS NOT DISTINCT FROM l.lang AND s.measure = l.measure
+    JOIN {_quartile_sql("")} a ON s.measure = a.measure),
+verdict AS (SELECT b.row, bool_and(p.q1 IS NOT NULL AND b.bin <= p.q3 + greatest(3 * (p.q3 - p.q1), b.spread)
+    AND (NOT b.low_fails OR b.bin >= p.q1 - greatest(3 * (p.q3 - p.q1), b.spread))) AS passed
+  FROM binned b JOIN rated r USING (row) LEFT JOIN picked p
+    ON r.lang IS NOT DISTINCT FROM p.lang AND r.source IS NOT DISTINCT FROM p.source AND b.measure = p.measure GROUP BY b.row)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND passed AS kept
+FROM rated JOIN verdict USING (row)"""
+
+
+@register("op9_quality_rules", _QUALITY_SQL)
+def op9_quality_rules(spark, sf_dir):
+    """Base rules of 20 words and 30 per cent, then fences per language and source."""
+    rated = quality.assess(documents(spark, sf_dir), min_group=50, fences=3)
+    return rated.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
