@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import decontamination, line_dedup, mixing, near_dup, quality, token_store, toxicity
+from ratewise.llm import decontamination, line_dedup, mixing, near_dup, quality, shards, token_store, toxicity
 from ratewise.session import scratch_path
 
 QUERIES = {}
@@ -218,3 +218,15 @@ def op9_quality_rules(spark, sf_dir):
     """Base rules of 20 words and 30 per cent, then fences per language and source."""
     rated = quality.assess(documents(spark, sf_dir), min_group=50, fences=3)
     return rated.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+# --- op6: sharding; the tree has no SQL twin, tested by balance and invariants ----------
+
+
+@register("op6_sharding")
+def op6_sharding(spark, sf_dir):
+    """24 shards of near equal bytes; equal texts share a shard."""
+    dealt = shards.shard(documents(spark, sf_dir), n_shards=24)
+    return dealt.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
