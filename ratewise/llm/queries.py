@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import decontamination, line_dedup, mixing, near_dup, quality, shards, token_store, toxicity
+from ratewise.llm import decontamination, line_dedup, mixing, near_dup, quality, shards, surrogates, token_store, toxicity
 from ratewise.session import scratch_path
 
 QUERIES = {}
@@ -230,3 +230,14 @@ def op6_sharding(spark, sf_dir):
     return dealt.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+# --- op4: surrogates for personal data; no SQL twin, tested on planted entities ----------
+
+_PII_KEY = b"key of the registered query; a caller brings its own"
+
+
+@register("op4_pii_surrogates")
+def op4_pii_surrogates(spark, sf_dir):
+    """Every text with its personal data replaced."""
+    return surrogates.pseudonymised(documents(spark, sf_dir), _PII_KEY)
