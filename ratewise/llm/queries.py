@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import decontamination, line_dedup, mixing, near_dup, quality, shards, surrogates, token_store, toxicity
+from ratewise.llm import decontamination, edit_counts, line_dedup, mixing, near_dup, quality, shards, surrogates, token_store, toxicity
 from ratewise.session import scratch_path
 
 QUERIES = {}
@@ -241,3 +241,29 @@ _PII_KEY = b"key of the registered query; a caller brings its own"
 def op4_pii_surrogates(spark, sf_dir):
     """Every text with its personal data replaced."""
     return surrogates.pseudonymised(documents(spark, sf_dir), _PII_KEY)
+
+
+# --- op1: edit-aware token counts; no SQL twin, tested against full encoding --------------
+
+
+def _derived_edits():
+    """Three edits of every document, at places that follow from its id: insert, delete, replace."""
+    place = lambda salt: F.pmod(F.xxhash64(F.lit(salt), "doc_id"), F.length(F.coalesce("text", F.lit(""))) + 1)
+    edit = lambda seq, n, text: F.struct(
+        F.lit(seq).cast("long").alias("seq"),
+        place(seq).alias("start"),
+        F.lit(n).cast("long").alias("n_deleted"),
+        F.coalesce(text, F.lit("")).alias("inserted"),
+    )
+    return F.array(
+        edit(1, 0, F.concat(F.lit(" "), "source", F.lit(" "))), edit(2, 20, F.lit("")), edit(3, 5, F.col("lang"))
+    ).cast(edit_counts.EDITS)
+
+
+@register("op1_edit_counts")
+def op1_edit_counts(spark, sf_dir):
+    """Token counts of every document before and after three edits."""
+    trees = edit_counts.build(documents(spark, sf_dir).withColumn("edits", _derived_edits()), vocabulary(), "edits")
+    return edit_counts.apply_edits(trees, vocabulary()).select(
+        "doc_id", "n_edits", "tokens_before", "tokens_after", "n_chars", "chars_encoded"
+    )
