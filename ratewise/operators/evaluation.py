@@ -24,6 +24,7 @@ def holdout(
     df: DataFrame, test_size: float = VALIDATE_PART, seed: int = SEED, key: str = "id"
 ) -> tuple[DataFrame, DataFrame]:
     """(training, validation) by a seeded hash of the key: stable under recomputation."""
+    df = require_key(df, key)
     draw = seeded_fraction(F.col(key), seed)
     return df.where(draw >= test_size), df.where(draw < test_size)
 
@@ -36,7 +37,7 @@ def stratified_folds(
     Rows are numbered globally in (class, hash) order, so a class that holds a
     large part of the rows is not gathered in one task.
     """
-    draw = df.withColumn("_draw", seeded_fraction(F.col(key), seed))
+    draw = require_key(df, key).withColumn("_draw", seeded_fraction(F.col(key), seed))
     placed = with_position(draw, [label, "_draw", key], "_position", start=0)
     first = placed.groupBy(label).agg(F.min("_position").alias("_first"))
     return (
@@ -47,17 +48,34 @@ def stratified_folds(
 
 
 def numbered_batches(
-    df: DataFrame, batch_size: int, seed: int = SEED, key: str = "id"
+    df: DataFrame, batch_size: int | None = None, n_batches: int | None = None, seed: int = SEED, key: str = "id"
 ) -> DataFrame:
-    """Add ``batch_no`` in a seeded order; a last batch shorter than the rest is dropped."""
-    draw = df.withColumn("_draw", seeded_fraction(F.col(key), seed))
+    """Add ``batch_no`` in a seeded order.
+
+    With ``n_batches`` all rows are dealt over that many batches whose sizes
+    differ by one at most. With ``batch_size`` a last batch shorter than the
+    rest is dropped, as its step would weigh as much as a full one.
+    """
+    if (batch_size is None) == (n_batches is None):
+        raise ValueError("give batch_size or n_batches")
+    draw = require_key(df, key).withColumn("_draw", seeded_fraction(F.col(key), seed))
     placed = with_position(draw, ["_draw", key], "_position", start=0)
-    whole = F.floor(placed.agg(F.count(F.lit(1))).scalar() / batch_size)
-    return (
-        placed.withColumn("batch_no", F.floor(F.col("_position") / batch_size))
-        .where(F.col("batch_no") < whole)
-        .drop("_draw", "_position")
-    )
+    n = placed.agg(F.count(F.lit(1)).alias("n")).first().n
+    if n_batches is not None:
+        batch = F.floor(F.col("_position") * min(n_batches, max(n, 1)) / F.lit(max(n, 1)))
+    else:
+        batch = F.floor(F.col("_position") / batch_size)
+    numbered = placed.withColumn("batch_no", batch)
+    if batch_size is not None:
+        numbered = numbered.where(F.col("batch_no") < n // batch_size)
+    return numbered.drop("_draw", "_position")
+
+
+def require_key(df: DataFrame, key: str) -> DataFrame:
+    """The rows, with an error in place of one without its key."""
+    message = F.lit(f"row without {key}: splits, folds and batches need one")
+    present = F.when(F.col(key).isNotNull(), True).otherwise(F.raise_error(message).cast("boolean"))
+    return df.where(present)
 
 
 def id_contiguity(df: DataFrame, key: str = "id") -> DataFrame:

@@ -91,13 +91,13 @@ def block_weights(spark, sf_dir):
 @register(
     "nonzero_cells",
     """WITH c AS (SELECT vec_id AS id, CAST(unnest(embedding) AS DOUBLE) AS value FROM embeddings)
-    SELECT id, count(*) AS n FROM c WHERE round(value, 1) <> 0 GROUP BY id""",
+    SELECT id, count(*) AS n FROM c WHERE value <> 0 GROUP BY id""",
 )
 def nonzero_cells(spark, sf_dir):
     cells = table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("id"), F.explode(F.col("embedding").cast("array<double>")).alias("value")
     )
-    return cells.where(F.round("value", 1) != 0).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    return cells.where(F.col("value") != 0).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- scaling -------------------------------------------------------------------------

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewise.operators import features as X
+from ratewise.operators import evaluation as E
 from ratewise.operators.evaluation import holdout
 from ratewise.plans import features as P
 from ratewise.plans import models as M
 from ratewise.plans import tuning as U
-from ratewise.session import checkpointed
+from ratewise.session import checkpointed, scratch_path
 from ratewise.sources import reviews as R
 from ratewise.sources import tables as S
 from ratewise.sources.bindings import review_text
@@ -31,40 +32,65 @@ def register(name: str, sql: str | None = None):
     return add
 
 
-# --- loaders: every document rendered in the file format and parsed back ----------------
+# --- loaders: every document written in the file format and parsed back -----------------
 
 _ONE_LINE = "rtrim(regexp_replace(text, '[ \\t\\n\\v\\f\\r]+', ' ', 'g'))"
 _RENDERED = f"""SELECT {{id}} 'u' || CAST(doc_id % 97 AS VARCHAR) AS author, source AS product,
-  DATE '2005-03-07' AS date, CAST(n_chars AS VARCHAR) AS summary, {_ONE_LINE} AS content"""
+  make_date(CAST(2001 + doc_id % 7 AS INTEGER), CAST(1 + doc_id % 12 AS INTEGER), CAST(1 + doc_id % 28 AS INTEGER)) AS date,
+  CAST(n_chars AS VARCHAR) AS summary, {_ONE_LINE} AS content"""
+_FILE_REVIEWS = 500
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    part = lambda first, n: (first + F.col("doc_id") % n).cast("string")
     return docs.withColumn(
         "value",
         F.concat_ws(
             "\n",
-            F.concat(F.lit("<Author>u"), (F.col("doc_id") % 97).cast("string")),
+            F.concat(F.lit("<Author>u"), part(0, 97)),
             F.concat(F.lit("<Product>"), "source"),
-            F.lit("<Date>3 7, 2005"),
+            F.concat(F.lit("<Date>"), part(1, 12), F.lit(" "), part(1, 28), F.lit(", "), part(2001, 7)),
             F.concat(F.lit("<Summary>"), F.col("n_chars").cast("string")),
             F.concat(F.lit("<Content>"), F.regexp_replace("text", r"\s+", " ")),
         ),
     )
 
 
+def _written_train(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents written as training files of up to _FILE_REVIEWS reviews, and loaded from them."""
+    tail = F.concat(
+        F.lit("\n<Helpful>"), (F.col("doc_id") % 4).cast("string"), F.lit("/3\n<Rating>"), (1 + F.col("doc_id") % 5).cast("string")
+    )
+    folder = scratch_path(spark, "train")
+    files = (
+        _lines(spark, sf_dir)
+        .groupBy(F.floor(F.col("doc_id") / _FILE_REVIEWS).alias("file"))
+        .agg(F.array_join(F.collect_list(F.concat("value", tail)), "\n\n").alias("value"))
+    )
+    files.select("value").write.option("maxRecordsPerFile", 1).text(folder)
+    return R.load_train(spark, folder)
+
+
 @register(
     "load_train",
     _RENDERED.format(id="") + ", CAST(doc_id % 4 AS INTEGER) AS positive, CAST(3 AS INTEGER) AS total,"
     " CAST(1 + doc_id % 5 AS INTEGER) AS rating FROM documents",
 )
 def load_train(spark, sf_dir):
-    tail = F.concat(
-        F.lit("\n<Helpful>"), (F.col("doc_id") % 4).cast("string"), F.lit("/3\n<Rating>"), (1 + F.col("doc_id") % 5).cast("string"), F.lit("\n")
+    loaded = _written_train(spark, sf_dir)
+    return loaded.select("author", "product", "date", "summary", "content", "helpful.positive", "helpful.total", "rating")
+
+
+@register(
+    "train_keys",
+    "SELECT count(*) AS n, count(*) AS n_distinct, -count(*) AS first, CAST(-1 AS BIGINT) AS last FROM documents",
+)
+def train_keys(spark, sf_dir):
+    """Keys of the loaded training reviews: one each, -1 to -n."""
+    return _written_train(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("n_distinct"), F.min("id").alias("first"), F.max("id").alias("last")
     )
-    blocks = _lines(spark, sf_dir).select(F.concat("value", tail).alias("value"))
-    parsed = R.parse_train_blocks(blocks)
-    return parsed.select("author", "product", "date", "summary", "content", "helpful.positive", "helpful.total", "rating")
 
 
 @register("load_test", _RENDERED.format(id="doc_id AS id,") + " FROM documents")
@@ -73,6 +99,17 @@ def load_test(spark, sf_dir):
     return R.parse_test_files(files).select("id", "author", "product", "date", "summary", "content")
 
 
+@register(
+    "mini_batches",
+    """WITH n AS (SELECT count(*) AS n FROM documents), b AS (SELECT unnest(range(7)) AS batch_no)
+    SELECT batch_no, CAST(ceil((batch_no + 1) * n / 7.0) - ceil(batch_no * n / 7.0) AS BIGINT) AS n_rows FROM b, n""",
+)
+def mini_batches(spark, sf_dir):
+    """Sizes of seven batches; together they hold every document."""
+    docs = review_text(spark, sf_dir).select("id")
+    return E.numbered_batches(docs, n_batches=7).groupBy("batch_no").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @register(
     "submission",
     "SELECT CAST(doc_id AS VARCHAR) AS id, CAST(1 + doc_id % 5 AS VARCHAR) || '.500000000000000000' AS rating FROM documents",

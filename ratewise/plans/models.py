@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -96,11 +95,11 @@ class Curve:
     history: list[dict]
 
 
-def batch_table(df: DataFrame, batch_size: int) -> tuple[str, int]:
+def batch_table(df: DataFrame, batch_size: int | None = None, n_batches: int | None = None) -> tuple[str, int]:
     """Rows written by batch, so that a step reads its own batch only; (path, batches)."""
     path = scratch_path(df.sparkSession, "batches")
     # The rows are already sorted by batch, so a task touches a batch or two.
-    numbered_batches(df, batch_size).write.partitionBy("batch_no").parquet(path)
+    numbered_batches(df, batch_size, n_batches).write.partitionBy("batch_no").parquet(path)
     stored = df.sparkSession.read.parquet(path)
     last = stored.agg(F.max("batch_no").alias("m")).first().m
     return path, 0 if last is None else int(last) + 1
@@ -118,12 +117,11 @@ def learning_curve(
 ) -> Curve:
     """One pass over batches, each continuing from the weights of the last.
 
-    The default batch size gives ``max_batches`` steps whatever the data size:
-    a step is a Spark job and has to be worth one.
+    Without a batch size all rows are dealt over ``max_batches`` steps whatever
+    the data size: a step is a Spark job and has to be worth one.
     """
-    if batch_size is None:
-        batch_size = max(1, math.ceil(train.count() / max_batches))
-    path, n_batches = batch_table(train.select("id", "features", "rating", "label"), batch_size)
+    rows = train.select("id", "features", "rating", "label")
+    path, n_batches = batch_table(rows, batch_size, None if batch_size else max_batches)
     if n_batches == 0:
         raise ValueError("fewer rows than one batch")
     stored = train.sparkSession.read.parquet(path)

@@ -39,7 +39,7 @@ def test_two_reviews_in_one_file(spark):
     alice = next(r for r in rows if r.author == "alice")
     assert alice.content == "  One line of café."
     assert alice.date == datetime.date(2005, 3, 7) and alice.date_raw == "3 7, 2005"
-    assert tuple(alice.helpful) == (3, 4) and alice.rating == 5 and alice.id is None
+    assert tuple(alice.helpful) == (3, 4) and alice.rating == 5 and alice.id == -1
     assert alice.split == "train"
 
 
@@ -56,7 +56,7 @@ def test_small_splits_give_the_same_rows(spark, folder):
     try:
         frame = R.load_train(spark, folder)
         assert frame.rdd.getNumPartitions() > 4
-        assert {r.author for r in frame.collect()} == {f"a{i}" for i in range(200)}
+        assert {(r.id, r.author) for r in frame.collect()} == {(-1 - i, f"a{i}") for i in range(200)}
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
         spark.conf.unset("spark.sql.files.openCostInBytes")
@@ -70,6 +70,8 @@ def test_small_splits_give_the_same_rows(spark, folder):
         block() + "\n" + block(),
         block() + "\n" + block() + "\n\n",
         block(product="P1"),
+        block(author="alice without tag"),
+        "\n" + block(),
         block(product=" <Product>P1"),
         block(helpful="<Helpful>5/4"),
         block(helpful="<Helpful>3"),
@@ -149,3 +151,24 @@ def test_prediction_store(spark, folder):
     S.append_predictions(predictions, folder + "/p", "zero")
     S.append_predictions(predictions, folder + "/p", "mean")
     assert {r.model for r in S.load_predictions(spark, folder + "/p").collect()} == {"zero", "mean"}
+
+
+def test_from_files_to_splits_every_row_counts(spark, folder):
+    from ratewise.operators import evaluation as E
+    from ratewise.plans.features import content_stages
+    from pyspark.ml import Pipeline
+
+    for f in range(3):
+        write(folder, f"{f}.txt", "\n\n".join(block(content=f"<Content>text {f} number {i % 7}", rating=f"<Rating>{1 + i % 5}") for i in range(20)) + "\n")
+    reviews = R.load_train(spark, folder)
+    assert sorted(r.id for r in reviews.collect()) == list(range(-60, 0))
+    train, validate = E.holdout(reviews, 0.3)
+    assert train.count() + validate.count() == 60 and validate.count() > 0
+    features = Pipeline(stages=content_stages(1, min_df=0.01)).fit(reviews).transform(reviews)
+    assert features.count() == 60
+    folds = E.stratified_folds(features.select("id", "rating", "features"), "rating", 3).groupBy("rating", "fold").count().collect()
+    assert sorted(r["count"] for r in folds) == [4] * 15
+    batches = E.numbered_batches(reviews.select("id"), n_batches=7).groupBy("batch_no").count().collect()
+    assert sorted(r["count"] for r in batches) == [8, 8, 8, 9, 9, 9, 9]
+    with pytest.raises(Exception, match="row without id"):
+        E.holdout(spark.createDataFrame([(None,)], "id long"))[0].collect()
