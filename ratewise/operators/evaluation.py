@@ -165,7 +165,7 @@ def trial_summary(
 
 
 def best_trial(trials: DataFrame, score: str, tie_break: Sequence[str]) -> DataFrame:
-    return trials.orderBy(score, *tie_break).limit(1)
+    return trials.where(F.col(score).isNotNull()).orderBy(score, *tie_break).limit(1)
 
 
 def best_k_trials(cells: DataFrame, score: str, k: int = 5) -> DataFrame:

@@ -42,6 +42,7 @@ from pyspark.sql import types as T
 from ratewise.functions.stopwords import english_stop_words
 from ratewise.functions.text import ngram_range, word_tokens
 from ratewise.operators.joins import lookup_join
+from ratewise.operators.lemmas import lemmatize
 from ratewise.operators.ordering import with_position
 from ratewise.operators.tfidf import TermSpec, document_frequency
 
@@ -102,6 +103,17 @@ class WordTokens(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable,
         return df.withColumn(self.getOutputCol(), word_tokens(F.lower(self.getInputCol())))
 
 
+class LemmaTokens(Transformer):
+    """Tokens replaced by their lemmas from a table (form, lemma); rows need a unique ``id``."""
+
+    def __init__(self, lemmas: DataFrame, inputCol: str = "tokens"):
+        super().__init__()
+        self.lemmas, self.input = lemmas, inputCol
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return lemmatize(df, self.lemmas, self.input)
+
+
 class NGramRange(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """All n-grams of 1 to ``maxN`` tokens."""
 
@@ -148,19 +160,29 @@ class TfidfVectorizer(Estimator):
     """
 
     # ``spec.lo`` must be 1: the vectors hold all n-grams up to ``spec.hi``.
-    def __init__(self, spec: TermSpec, inputCol: str = "content", outputCol: str = "ft_content", weight: float = 1.0):
+    def __init__(
+        self,
+        spec: TermSpec,
+        inputCol: str = "content",
+        outputCol: str = "ft_content",
+        weight: float = 1.0,
+        lemmas: DataFrame | None = None,
+    ):
         super().__init__()
-        self.spec, self.input, self.output, self.weight = spec, inputCol, outputCol, weight
+        self.spec, self.input, self.output, self.weight, self.lemmas = spec, inputCol, outputCol, weight, lemmas
 
     def _fit(self, df: DataFrame) -> PipelineModel:
         out = self.output
         stages: list[Transformer] = [WordTokens(self.input, f"{out}_tokens")]
+        if self.lemmas is not None:
+            stages.append(LemmaTokens(self.lemmas, f"{out}_tokens"))
         if self.spec.stop_words:
             stages.append(
                 StopWordsRemover(inputCol=f"{out}_tokens", outputCol=f"{out}_kept", stopWords=list(self.spec.stop_words), caseSensitive=True)
             )
-        last = stages[-1].getOutputCol()
-        frequency = document_frequency(df.select(F.col(self.input).alias("content")), self.spec)
+        last = f"{out}_kept" if self.spec.stop_words else f"{out}_tokens"
+        texts = df.select(*(["id"] if self.lemmas is not None else []), F.col(self.input).alias("content"))
+        frequency = document_frequency(texts, self.spec, self.lemmas)
         rows = sorted(_bounded(frequency.select("term", "idf"), MAX_DRIVER_ENTRIES, "terms"))
         if not rows:
             raise ValueError("no term is left after the document-frequency limits")
@@ -200,7 +222,7 @@ class OneHotBlock(Estimator):
         self.input, self.output, self.weight = inputCol, outputCol, weight
 
     def _fit(self, df: DataFrame) -> PipelineModel:
-        n = df.select(self.input).distinct().count()
+        n = df.select(self.input).where(F.col(self.input).isNotNull()).distinct().count()
         if n > MAX_DRIVER_ENTRIES:
             raise ValueError(f"more than {MAX_DRIVER_ENTRIES} values of {self.input}: use one_hot_cells")
         name = self.output if self.weight == 1 else f"{self.output}_unit"
@@ -301,22 +323,27 @@ def default_spec(ngram: int = 3, max_df: float = 0.3, min_df: float = 0.0003) ->
     return TermSpec(1, ngram, min_df, max_df, english_stop_words())
 
 
-_CELLS = T.ArrayType(
-    T.StructType([T.StructField("idx", T.IntegerType()), T.StructField("value", T.DoubleType())])
+_ARRAYS = T.StructType(
+    [
+        T.StructField("kind", T.ByteType()),
+        T.StructField("indices", T.ArrayType(T.IntegerType())),
+        T.StructField("values", T.ArrayType(T.DoubleType())),
+    ]
 )
 
 
-@F.pandas_udf(_CELLS)
-def _nonzero(vectors: pd.DataFrame) -> pd.Series:
-    def cells(kind, indices, values):
-        if kind == 1:
-            indices = np.flatnonzero(values)
-            values = np.asarray(values)[indices]
-        return [{"idx": int(i), "value": float(v)} for i, v in zip(indices, values) if v != 0]
-
-    return pd.Series([cells(*row) for row in zip(vectors["type"], vectors["indices"], vectors["values"])])
+@F.pandas_udf(_ARRAYS)
+def _vector_arrays(vectors: pd.DataFrame) -> pd.DataFrame:
+    # Nothing but the arrays of the stored vector; Spark takes them apart.
+    return pd.DataFrame({"kind": vectors["type"], "indices": vectors["indices"], "values": vectors["values"]})
 
 
 def sparse_cells(df: DataFrame, column: str, key: str = "id") -> DataFrame:
     """(id, idx, value) of the non-zero positions of a vector column."""
-    return df.select(key, F.inline_outer(_nonzero(column))).where(F.col("idx").isNotNull())
+    arrays = df.select(key, _vector_arrays(column).alias("_v"))
+    dense = F.transform("_v.values", lambda x, i: F.struct(i.alias("idx"), x.alias("value")))
+    sparse = F.transform(
+        F.arrays_zip("_v.indices", "_v.values"), lambda c: F.struct(c["indices"].alias("idx"), c["values"].alias("value"))
+    )
+    cells = F.filter(F.when(F.col("_v.kind") == 1, dense).otherwise(sparse), lambda c: c["value"] != 0)
+    return arrays.select(key, F.inline(cells))

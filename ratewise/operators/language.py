@@ -18,12 +18,6 @@ def default_lists() -> dict[str, Sequence[str]]:
     return {language: stop_words(language) for language in LANGUAGES}
 
 
-def _word_array(words: Sequence[str]) -> Column:
-    # One string literal, folded to one array literal: a literal per word would
-    # cost more in planning than the query itself.
-    return F.split(F.lit("\n".join(words)), "\n")
-
-
 def _members(array: str, words: Sequence[str]) -> str:
     """SQL text for the entries of ``array`` that are in ``words``, a hashed set in Spark.
 
@@ -54,8 +48,8 @@ def detect_language(
     every = sorted({w for words in lists.values() for w in words})
     hits = {f"_hits_{name}": F.size(F.expr(_members("_words", lists[name]))) for name in names}
     # Most tokens are in no list: one pass drops them before the lists are tried.
-    words = F.array_intersect(_tokens(every), _word_array(every))
-    counted = reviews.withColumn("_words", words).withColumns(hits)
+    distinct = reviews.withColumn("_words", F.array_distinct(_tokens(every)))
+    counted = distinct.withColumn("_words", F.expr(_members("_words", every))).withColumns(hits)
     best = counted.withColumn("n_hits", F.greatest(*hits) if len(hits) > 1 else F.col(next(iter(hits))))
     language = F.when(F.col("n_hits") == 0, UNKNOWN)
     for name in names:

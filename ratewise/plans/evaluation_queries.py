@@ -15,21 +15,11 @@ from ratewise.operators import selection as S
 from ratewise.operators import tfidf as V
 from ratewise.operators.distributions import value_histogram
 from ratewise.plans.explore_queries import FACTS_SQL, SPLIT_SQL, TEXT_SQL, _rounded
+from ratewise.plans.registration import registrar
 from ratewise.plans.text_queries import cells_sql
 from ratewise.sources.bindings import review_text, table
 
-QUERIES = {}
-ORACLE = {}
-
-
-def register(name: str, sql: str | None = None):
-    def add(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-
-    return add
+QUERIES, ORACLE, register = registrar()
 
 
 # --- items, one-hot, blocks ---------------------------------------------------------

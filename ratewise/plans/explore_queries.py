@@ -10,6 +10,7 @@ from ratewise.functions.numeric import seeded_fraction
 from ratewise.functions.text import word_count
 from ratewise.operators import distributions as D
 from ratewise.operators import evaluation as E
+from ratewise.plans.registration import registrar
 from ratewise.sources.bindings import review_facts, review_text, table
 
 FACTS_SQL = """
@@ -52,18 +53,7 @@ def _facts(spark, sf_dir, *columns):
     return review_facts(spark, sf_dir, columns)
 
 
-QUERIES = {}
-ORACLE = {}
-
-
-def register(name: str, sql: str | None = None):
-    def add(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-
-    return add
+QUERIES, ORACLE, register = registrar()
 
 
 for _key in ("product", "author"):

@@ -23,8 +23,12 @@ from ratewise.schema import FEATURES
 SVD_COMPONENTS = 1000
 
 
-def content_stages(ngram: int = 3, max_df: float = 0.3, min_df: float = 0.0003, outputCol: str = "features") -> list:
-    return [TfidfVectorizer(default_spec(ngram, max_df, min_df), outputCol=outputCol)]
+# The defaults of the n-gram and document-frequency limits.
+def content_stages(
+    ngram: int = 3, max_df: float = 0.3, min_df: float = 0.0003, outputCol: str = "features", lemmas: DataFrame | None = None
+) -> list:
+    """TF-IDF of the content; with a table ``lemmas`` (form, lemma) of the lemmatised content."""
+    return [TfidfVectorizer(default_spec(ngram, max_df, min_df), outputCol=outputCol, lemmas=lemmas)]
 
 
 def all_stages(
@@ -36,6 +40,7 @@ def all_stages(
     w_au: float = 1,
     k: int | None = None,
     outputCol: str = "features",
+    lemmas: DataFrame | None = None,
 ) -> list:
     """Content (reduced to ``k`` components if given), product and author side by side.
 
@@ -43,11 +48,11 @@ def all_stages(
     """
     spec = default_spec(ngram, max_df, min_df)
     if k is None:
-        content: list[Estimator] = [TfidfVectorizer(spec, outputCol="ft_content", weight=w_ct)]
+        content: list[Estimator] = [TfidfVectorizer(spec, outputCol="ft_content", weight=w_ct, lemmas=lemmas)]
     else:
         # X.V is linear: weighting the cells weighs the components.
         content = [
-            TfidfVectorizer(spec, outputCol="ft_terms", weight=w_ct),
+            TfidfVectorizer(spec, outputCol="ft_terms", weight=w_ct, lemmas=lemmas),
             TruncatedSVD(k, "ft_terms", "ft_content"),
         ]
     return content + [

@@ -13,23 +13,13 @@ from ratewise.operators.evaluation import holdout
 from ratewise.plans import features as P
 from ratewise.plans import models as M
 from ratewise.plans import tuning as U
+from ratewise.plans.registration import registrar
 from ratewise.session import checkpointed, scratch_path
 from ratewise.sources import reviews as R
 from ratewise.sources import tables as S
 from ratewise.sources.bindings import review_text
 
-QUERIES = {}
-ORACLE = {}
-
-
-def register(name: str, sql: str | None = None):
-    def add(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-
-    return add
+QUERIES, ORACLE, register = registrar()
 
 
 # --- loaders: every document written in the file format and parsed back -----------------
@@ -124,19 +114,20 @@ def submission(spark, sf_dir):
 _CLASSES = 2
 
 
-def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+def labelled_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = review_text(spark, sf_dir, with_labels=True).where(F.col("label").isNotNull())
     return rows.withColumn("rating", (F.col("label") + 1).cast("int")).withColumn("label", F.col("label").cast("double"))
 
 
-def _content_features(spark: SparkSession, sf_dir: str, k: int | None = None) -> DataFrame:
-    """(id, rating, label, features): TF-IDF of the labelled texts, reduced to k components."""
-    rows = _labelled(spark, sf_dir)
+def _content_split(spark: SparkSession, sf_dir: str, k: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(training, validation) with features fitted on the training part: TF-IDF, reduced to k components."""
+    train, validate = holdout(labelled_reviews(spark, sf_dir), 0.2)
     stages = P.content_stages(1, min_df=0.01, outputCol="features" if k is None else "raw")
     if k is not None:
         stages = stages + [X.TruncatedSVD(k, "raw", "reduced"), X.UnitRange("reduced", "features")]
-    fitted = Pipeline(stages=stages).fit(rows).transform(rows)
-    return checkpointed(fitted.select("id", "rating", "label", "features"))
+    model = Pipeline(stages=stages).fit(train)
+    keep = ["id", "rating", "label", "features"]
+    return checkpointed(model.transform(train).select(*keep)), checkpointed(model.transform(validate).select(*keep))
 
 
 @register("feature_union")
@@ -162,38 +153,40 @@ def _predict(model, df):
 
 @register("logistic_regression")
 def logistic_regression(spark, sf_dir):
-    train, validate = holdout(_content_features(spark, sf_dir), 0.2)
+    train, validate = _content_split(spark, sf_dir)
     return _predict(M.logistic_regression(1.0, train.count()).fit(train), validate)
 
 
 @register("random_forest")
 def random_forest(spark, sf_dir):
-    train, validate = holdout(_content_features(spark, sf_dir, 10), 0.2)
+    train, validate = _content_split(spark, sf_dir, 10)
     return _predict(M.random_forest(10).fit(train), validate)
 
 
 @register("mlp")
 def mlp(spark, sf_dir):
-    train, validate = holdout(_content_features(spark, sf_dir, 10), 0.2)
+    train, validate = _content_split(spark, sf_dir, 10)
     return _predict(M.mlp(M.feature_count(train), 10, _CLASSES, max_iter=50).fit(train), validate)
 
 
 @register("mlp_learning_curve")
 def mlp_learning_curve(spark, sf_dir):
-    train, validate = holdout(_content_features(spark, sf_dir, 10), 0.2)
+    train, validate = _content_split(spark, sf_dir, 10)
     curve = M.learning_curve(train, validate, 10, max_batches=3, n_classes=_CLASSES)
     return spark.createDataFrame(curve.history, M.CURVE_SCHEMA)
 
 
 @register("grid_search")
 def grid_search(spark, sf_dir):
-    grid = [U.candidate({"c": c}, (), lambda: [], U.lr(c, True)) for c in (0.1, 1.0, 10.0)]
-    return U.grid_search(_content_features(spark, sf_dir), grid).summary
+    """Each fold fits its own features."""
+    grid = [U.candidate({"c": c}, (), lambda: P.content_stages(1, min_df=0.01), U.lr(c, True)) for c in (0.1, 1.0, 10.0)]
+    rows = labelled_reviews(spark, sf_dir).select("id", "content", "rating", "label")
+    return U.grid_search(checkpointed(rows), grid).summary
 
 
 @register("repeated_holdout")
 def repeated_holdout(spark, sf_dir):
-    rows = checkpointed(_labelled(spark, sf_dir).select("id", "content", "rating", "label"))
+    rows = checkpointed(labelled_reviews(spark, sf_dir).select("id", "content", "rating", "label"))
     grid = [
         U.candidate({"ngram": n}, ("ngram",), lambda n=n: P.content_stages(n, min_df=0.01), U.lr(1.0, False))
         for n in (1, 2)
@@ -203,7 +196,7 @@ def repeated_holdout(spark, sf_dir):
 
 @register("ensemble_predict")
 def ensemble_predict(spark, sf_dir):
-    train, validate = holdout(_content_features(spark, sf_dir, 10), 0.2)
+    train, validate = _content_split(spark, sf_dir, 10)
     models = M.fit_ensemble(train, linear=True, n_classes=_CLASSES, max_iter=30)
     weights = (*M.ENSEMBLE_WEIGHTS, M.LINEAR_WEIGHT)
     return M.ensemble_predict(models, validate, weights, _CLASSES).select("id", "rating", "prediction")

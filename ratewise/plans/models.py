@@ -17,8 +17,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.functions.numeric import clamp_round, mean_absolute_error
-from ratewise.operators.evaluation import holdout, numbered_batches, soft_vote
+from ratewise.functions.numeric import clamp_round, class_of_best, mean_absolute_error
+from ratewise.operators.evaluation import confusion_matrix, holdout, numbered_batches, soft_vote
 from ratewise.session import scratch_path
 from ratewise.sources.tables import append_predictions, write_submission
 
@@ -127,10 +127,7 @@ def learning_curve(
     stored = train.sparkSession.read.parquet(path)
     n_features, model, history = feature_count(train), None, []
     for i in range(n_batches):
-        learner = mlp(n_features, hidden, n_classes, max_iter=iterations)
-        if model is not None:
-            learner = learner.setInitialWeights(model.weights)
-        model = learner.fit(stored.where(F.col("batch_no") == i))
+        model = _step(model, stored.where(F.col("batch_no") == i), n_features, hidden, n_classes, iterations)
         if (i + 1) % evaluate_every == 0 or i + 1 == n_batches:
             history.append(
                 {
@@ -142,6 +139,24 @@ def learning_curve(
     return Curve(model, history)
 
 
+def _step(model, batch: DataFrame, n_features: int, hidden: int, n_classes: int, iterations: int, seed: int = 42):
+    """A network trained on from ``model``'s weights, or from the start."""
+    learner = mlp(n_features, hidden, n_classes, seed=seed, max_iter=iterations)
+    return (learner if model is None else learner.setInitialWeights(model.weights)).fit(batch)
+
+
+def validation_report(train: DataFrame, validate: DataFrame, hidden: int, n_classes: int = N_CLASSES, **curve) -> DataFrame:
+    """Learning curve (section ``curve``, step = batch) and, after the last batch, confusion
+    matrix of the validation rows (section ``confusion``, step = predicted class)."""
+    fitted = learning_curve(train, validate, hidden, n_classes=n_classes, **curve)
+    spark = train.sparkSession
+    steps = spark.createDataFrame(fitted.history, CURVE_SCHEMA).withColumnRenamed("batch", "step")
+    counts = confusion_matrix(predicted_rating(fitted.model, validate), range(1, n_classes + 1)).withColumnRenamed("prediction", "step")
+    return steps.withColumn("section", F.lit("curve")).unionByName(
+        counts.withColumn("section", F.lit("confusion")), allowMissingColumns=True
+    )
+
+
 CURVE_SCHEMA = "batch int, mae_train double, mae_validate double"
 
 
@@ -179,6 +194,46 @@ def ensemble_predict(models: Sequence[Model], df: DataFrame, weights: Sequence[f
     return voted.withColumn("prediction", F.col("vote").cast("double")).drop(*names, "vote")
 
 
+def _vote_scores(models: Sequence[Model], df: DataFrame, weights: Sequence[float], n_classes: int) -> list[float]:
+    """Errors of each model and, last, of their vote, in one pass."""
+    names = [f"p{i}" for i in range(len(models))]
+    for model, name in zip(models, names):
+        df = class_probabilities(model, df, name)
+    voted = soft_vote(df, names, weights, n_classes)
+    error = lambda rating: mean_absolute_error(F.col("rating"), rating)
+    row = voted.agg(*[error(class_of_best(F.col(n))).alias(n) for n in names], error(F.col("vote")).alias("vote")).first()
+    return list(row)
+
+
+def vote_learning_curve(
+    train: DataFrame,
+    validate: DataFrame,
+    widths: Sequence[int] = ENSEMBLE_WIDTHS,
+    weights: Sequence[float] = ENSEMBLE_WEIGHTS,
+    n_classes: int = N_CLASSES,
+    batch_size: int | None = None,
+    max_batches: int = 20,
+    iterations: int = 20,
+) -> list[dict]:
+    """All networks trained batch by batch; rows (batch, model, mae_train, mae_validate), model ``vote`` for all together."""
+    rows = train.select("id", "features", "rating", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        path, n_batches = batch_table(rows, batch_size, None if batch_size else max_batches)
+        stored = train.sparkSession.read.parquet(path)
+        n_features = feature_count(rows)
+        models: list = [None] * len(widths)
+        history = []
+        for i in range(n_batches):
+            batch = stored.where(F.col("batch_no") == i)
+            models = [_step(m, batch, n_features, w, n_classes, iterations, seed=k) for k, (m, w) in enumerate(zip(models, widths))]
+            scores = zip(_vote_scores(models, rows, weights, n_classes), _vote_scores(models, validate, weights, n_classes))
+            names = [*(f"mlp_{w}" for w in widths), "vote"]
+            history += [{"batch": i, "model": n, "mae_train": a, "mae_validate": b} for n, (a, b) in zip(names, scores)]
+        return history
+    finally:
+        rows.unpersist()
+
+
 # --- workflows -------------------------------------------------------------------------
 
 

@@ -12,21 +12,11 @@ from ratewise.operators import tfidf as V
 from ratewise.operators.evaluation import holdout
 from ratewise.operators.lemmas import NOUN_ENDINGS, build_lemmas
 from ratewise.plans.explore_queries import SPLIT_SQL, TEXT_SQL, _rounded
+from ratewise.plans.registration import registrar
 from ratewise.session import checkpointed
 from ratewise.sources.bindings import review_text
 
-QUERIES = {}
-ORACLE = {}
-
-
-def register(name: str, sql: str | None = None):
-    def add(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-
-    return add
+QUERIES, ORACLE, register = registrar()
 
 
 def _quoted(words) -> str:
@@ -37,14 +27,14 @@ WORD_SQL = "regexp_extract_all({0}, '[\\p{{L}}\\p{{N}}_]+')"
 PUNCT_SQL = "regexp_extract_all(lower({0}), '[\\p{{L}}\\p{{N}}_]+|[^\\p{{L}}\\p{{N}}_\\s]+')"
 _TOKENS = WORD_SQL.format("lower(content)")
 _STOPS = _quoted(english_stop_words())
-_LISTS = "stops(language, token) AS (VALUES " + ", ".join(
+LISTS_SQL = "stops(language, token) AS (VALUES " + ", ".join(
     f"('{name}', {_quoted([word])})" for name in LANGUAGES for word in stop_words(name)
 ) + ")"
 _OVERLAP = f"""overlap AS (
   SELECT id, language, count(*) AS n
   FROM (SELECT DISTINCT id, unnest({PUNCT_SQL.format('content')}) AS token FROM reviews) t JOIN stops USING (token)
   GROUP BY id, language)"""
-_DETECTED = f"""{_OVERLAP}, detected AS (
+DETECTED_SQL = f"""{_OVERLAP}, detected AS (
   SELECT r.id, coalesce(o.language, 'unknown') AS language, CAST(coalesce(o.n, 0) AS INTEGER) AS n_hits
   FROM reviews r LEFT JOIN (
     SELECT *, row_number() OVER (PARTITION BY id ORDER BY n DESC, language) AS r FROM overlap) o
@@ -82,26 +72,26 @@ def cells_sql(lo: int, hi: int, stop: bool, min_df: float = 0.0, max_df: float =
 # --- language ------------------------------------------------------------------
 
 
-@register("language_detect", f"WITH {TEXT_SQL}, {_LISTS}, {_DETECTED} SELECT id, language, n_hits FROM detected")
+@register("language_detect", f"WITH {TEXT_SQL}, {LISTS_SQL}, {DETECTED_SQL} SELECT id, language, n_hits FROM detected")
 def language_detect(spark, sf_dir):
     return L.detect_language(review_text(spark, sf_dir)).select("id", "language", "n_hits")
 
 
-@register("language_counts", f"WITH {TEXT_SQL}, {_LISTS}, {_DETECTED} SELECT language, count(*) AS n FROM detected GROUP BY 1")
+@register("language_counts", f"WITH {TEXT_SQL}, {LISTS_SQL}, {DETECTED_SQL} SELECT language, count(*) AS n FROM detected GROUP BY 1")
 def language_counts(spark, sf_dir):
     return L.language_counts(L.detect_language(review_text(spark, sf_dir)))
 
 
 @register(
     "language_top5",
-    f"""WITH {TEXT_SQL}, {_LISTS}, {_DETECTED} SELECT language, count(*) AS n FROM detected GROUP BY 1
+    f"""WITH {TEXT_SQL}, {LISTS_SQL}, {DETECTED_SQL} SELECT language, count(*) AS n FROM detected GROUP BY 1
     ORDER BY n DESC, language DESC LIMIT 5""",
 )
 def language_top5(spark, sf_dir):
     return L.language_counts(L.detect_language(review_text(spark, sf_dir))).limit(5)
 
 
-@register("stopword_overlap", f"WITH {TEXT_SQL}, {_LISTS}, {_OVERLAP} SELECT id, language, n FROM overlap")
+@register("stopword_overlap", f"WITH {TEXT_SQL}, {LISTS_SQL}, {_OVERLAP} SELECT id, language, n FROM overlap")
 def stopword_overlap(spark, sf_dir):
     return L.stop_word_overlap(review_text(spark, sf_dir), L.stop_word_table(spark))
 
@@ -158,19 +148,15 @@ def stopword_filter(spark, sf_dir):
     return tokens.select("id", without(F.col("tokens"), english_stop_words()).alias("tokens"))
 
 
-@register(
-    "lemmas",
-    "WITH " + TEXT_SQL + f""", w AS (SELECT DISTINCT unnest({_TOKENS}) AS form FROM reviews),
-    c AS (SELECT form, form AS lemma, 0 AS rule FROM w """
-    + " ".join(
-        f"UNION ALL SELECT form, left(form, length(form) - {len(a)}) || '{b}', {i} FROM w"
-        f" WHERE ends_with(form, '{a}')"
-        for i, (a, b) in enumerate(NOUN_ENDINGS, start=1)
-    )
-    + """), k AS (SELECT *, row_number() OVER (PARTITION BY form ORDER BY length(lemma), rule) AS r
-      FROM c WHERE lemma IN (SELECT form FROM w))
-    SELECT form, lemma FROM k WHERE r = 1 AND form <> lemma""",
-)
+_LEMMA_SQL = f"""w AS (SELECT DISTINCT unnest({_TOKENS}) AS form FROM reviews),
+    c AS (SELECT form, form AS lemma, 0 AS rule FROM w """ + " ".join(
+    f"UNION ALL SELECT form, left(form, length(form) - {len(old)}) || '{new}', {i} FROM w WHERE ends_with(form, '{old}')"
+    for i, (old, new) in enumerate(NOUN_ENDINGS, start=1)
+) + """), lemma AS (SELECT form, arg_min(lemma, (length(lemma), rule)) AS lemma FROM c
+      WHERE lemma IN (SELECT form FROM w) GROUP BY form)"""
+
+
+@register("lemmas", f"WITH {TEXT_SQL}, {_LEMMA_SQL} SELECT form, lemma FROM lemma WHERE form <> lemma")
 def lemmas(spark, sf_dir):
     """Lemma table of the corpus vocabulary checked against itself."""
     tokens = V.tokenize(review_text(spark, sf_dir).select("id", "content"))
@@ -251,6 +237,27 @@ for _n in (1, 2, 3, 4):
         )(lambda s, d, f=_report(_n, _stop): _rounded(f(s, d)[1], "rating_product"))
 
 
+# --- lemmatised TF-IDF ---------------------------------------------------------
+
+@register(
+    "tfidf_lemmas",
+    f"""WITH {TEXT_SQL}, {_LEMMA_SQL},
+    terms AS (SELECT id, lemma AS term FROM (SELECT id, unnest({_TOKENS}) AS form FROM reviews) JOIN lemma USING (form)
+      WHERE lemma NOT IN ({_STOPS})),
+    tf AS (SELECT id, term, count(*) AS tf FROM terms GROUP BY id, term), n AS (SELECT count(*) AS n FROM reviews),
+    vocab AS (SELECT term, ln((n + 1) / (df + 1)) + 1 AS idf FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), n
+      WHERE df >= 0.01 * n AND df <= 0.3 * n)
+    SELECT id, term, tf, round(tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY id)), 6) AS value
+    FROM tf JOIN vocab USING (term)""",
+)
+def tfidf_lemmas(spark, sf_dir):
+    """TF-IDF of the lemmatised texts; the corpus vocabulary is the lexicon."""
+    reviews = _reviews(spark, sf_dir)
+    forms = checkpointed(V.document_frequency(reviews).select("term"))
+    cells = V.tfidf(reviews, V.TermSpec(1, 1, 0.01, 0.3, english_stop_words()), checkpointed(build_lemmas(forms, forms)))
+    return _rounded(cells.select("id", "term", "tf", "value"), "value")
+
+
 _CURVE_SQL = ", ".join(
     f"""t{n}{int(stop)} AS (SELECT {tokens_sql(stop)[len('tokens AS (SELECT '):-1]}),
     c{n}{int(stop)} AS (SELECT term, count(DISTINCT id) AS df FROM (
