@@ -96,8 +96,73 @@ def _kbest(k):
 
 def test_grid_sizes():
     sizes = {n: len(U.linear_grid(n)) for n in ("lr", "lr_all", "lr_all_svd", "lr_mixed_svd", "rf_all", "other")}
-    assert sizes == {"lr": 15, "lr_all": 15, "lr_all_svd": 24, "lr_mixed_svd": 25, "rf_all": 15, "other": 15}
+    assert sizes == {"lr": 15, "lr_all": 15, "lr_all_svd": 24, "lr_mixed_svd": 25, "rf_all": 9, "other": 15}  # depths beyond 30 are one
     assert len(U.content_grid()) == 40 and len(U.weight_grid()) == 125
     assert len(U.reduction_grid("svd")) == 20 and len(U.mlp_grid()) == 5
     with pytest.raises(ValueError):
         U.reduction_grid("pca", [3])[0].stages()
+
+
+def test_equal_points_are_one_and_a_failed_trial_is_kept(spark, reviews, folder):
+    assert [c.params["k"] for c in U.reduction_grid("kbest", [3, 9, 50, 70], n_features=9)] == [3, 9]
+    good = U.candidate({"k": 2}, ("k",), lambda: _kbest(2), U.lr(1.0, False))
+    bad = U.candidate({"k": 3}, ("k",), lambda: P.content_stages(1, min_df=0.9, max_df=0.91), U.lr(1.0, False))
+    trials = {r.k: r for r in U.repeated_holdout(reviews, [good, bad], (1,), folder + "/log", test_size=0.3).collect()}
+    assert trials[2].score_validate is not None and trials[3].score_validate is None
+    assert spark.read.parquet(folder + "/log").count() == 2
+
+
+def test_reports_of_networks(vectors):
+    train = M.with_label(vectors.where("split = 'train'"))
+    rows = M.validation_report(train, train, 8, max_batches=3, iterations=30).collect()
+    curve = [r for r in rows if r.section == "curve"]
+    matrix = [r for r in rows if r.section == "confusion"]
+    assert [r.step for r in sorted(curve, key=lambda r: r.step)] == [0, 1, 2] and len(matrix) == 5
+    assert sum(r[f"truth_{c}"] for r in matrix for c in range(1, 6)) == 200
+    voted = M.vote_learning_curve(train, train, (4, 6), (0.6, 0.4), max_batches=2, iterations=30)
+    assert [(r["batch"], r["model"]) for r in voted] == [(b, m) for b in (0, 1) for m in ("mlp_4", "mlp_6", "vote")]
+    assert all(0 <= r["mae_train"] == r["mae_validate"] <= 4 for r in voted)
+
+
+def test_weighted_one_hot_with_a_null_value(spark):
+    from ratewise.operators.features import OneHotBlock
+
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "id long, product string")
+    rows = {r.id: r.v.toArray().tolist() for r in OneHotBlock("product", "v", 0.5).fit(df).transform(df).collect()}
+    assert rows == {1: [0.5, 0.0], 2: [0.0, 0.0], 3: [0.0, 0.5]}
+
+
+def test_lemmas_in_vectors_equal_the_long_form(spark):
+    from ratewise.operators import tfidf as V
+    from ratewise.operators.features import sparse_cells
+
+    texts = ["cats and a cat", "boxes of the box", "cat in boxes", "dogs dog dogs"]
+    reviews = spark.createDataFrame(list(enumerate(texts)), "id long, content string")
+    lemmas = spark.createDataFrame([("cats", "cat"), ("boxes", "box"), ("dogs", "dog")], "form string, lemma string")
+    stages = P.content_stages(1, max_df=1.0, min_df=0.0, lemmas=lemmas)
+    from pyspark.ml import Pipeline
+
+    model = Pipeline(stages=stages).fit(reviews)
+    vector = sorted((r.id, round(r.value, 9)) for r in sparse_cells(model.transform(reviews), "features").collect())
+    spec = P.default_spec(1, 1.0, 0.0)
+    cells = V.tfidf(reviews, spec, lemmas).collect()
+    assert sorted((r.id, round(r.value, 9)) for r in cells) == vector
+    assert {r.term for r in cells} == {"cat", "box", "dog"}
+
+
+def test_document_frequency_follows_from_its_idf(spark):
+    import math
+
+    from ratewise.operators import tfidf as V
+
+    reviews = spark.createDataFrame([(i, " ".join(f"t{k}" for k in range(i))) for i in range(1, 30)], "id long, content string")
+    for r in V.document_frequency(reviews).collect():
+        assert round((29 + 1) / math.exp(r.idf - 1) - 1) == r.df
+
+
+def test_sparse_cells_of_both_kinds_of_vector(spark):
+    from ratewise.operators.features import sparse_cells
+
+    rows = [(1, Vectors.dense([0.0, 2.0])), (2, Vectors.sparse(5, [1, 4], [0.0, 3.0])), (3, Vectors.sparse(5, [], []))]
+    cells = sparse_cells(spark.createDataFrame(rows, ["id", "v"]), "v").collect()
+    assert sorted(map(tuple, cells)) == [(1, 1, 2.0), (2, 4, 3.0)]
