@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ratewise.llm import bloom
 from ratewise.llm import kernels as K
+from ratewise.llm.sizes import ids_for_join
 from ratewise.session import checkpointed
 
 _BENCH_BITS = 24  # 2 MB, whatever the benchmark's size
@@ -170,7 +171,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, span: int = 10, k: int = 5, **op
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, span: int = 10, k: int = 5, **options) -> DataFrame:
-    """The documents without a hit, with all their columns."""
+    """The documents without a hit, with all their columns; rows with one doc_id go together."""
     found = hits(docs, benchmark, span, k, **options).where(F.size("items") > 0)
-    bad = found.select(F.col("doc_id").alias("_bad")).distinct()
+    bad = ids_for_join(found.select(F.col("doc_id").alias("_bad")).distinct())
     return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_bad")), "left_anti")

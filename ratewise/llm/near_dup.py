@@ -13,9 +13,10 @@
    components of these ties are groups of candidates.
 4. In each group, sets that agree in ``matches`` coordinates or more are compared
    in full, but for those already linked through others. Groups above
-   BLOCK_SHINGLES are first compared with one pivot; what is not linked to it
-   then meets all blocks of the group, block by block, so a task holds two
-   blocks at most. Only links that join something new are written.
+   BLOCK_SHINGLES are cut into blocks that are compared inside and with one
+   pivot; what is then not in the largest component of its group meets all
+   blocks of the group, so a task holds two blocks at most. Only links that
+   join something new are written.
 5. Components of the confirmed links give every document its component.
 
 Defined results: a text without words has no shingles and is linked with
@@ -36,14 +37,13 @@ from pyspark.sql import functions as F
 
 from ratewise.llm import kernels as K
 from ratewise.llm.components import components
+from ratewise.llm.sizes import BROADCAST_IDS, ids_for_join
 from ratewise.session import checkpointed
 
 COORDINATES = 40
 #: Chance that two sets at the threshold agree in fewer coordinates than asked for.
 MISS = 1e-7
 BLOCK_SHINGLES = 2_000_000
-#: Candidate ids (8 bytes each) that may be broadcast to fetch their texts.
-BROADCAST_IDS = 1_000_000
 
 _SEEDS = np.random.default_rng(7).integers(0, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -189,66 +189,50 @@ def confirmed_links(sets: DataFrame, similarity: float, matches: int, coordinate
 
     def run(batches):
         for rows in _grouped(batches, ["grp", "i", "j"]):
-            seen, unique = set(), []
+            seen, unique, numbers = set(), [], {}
             for row in rows:
                 hashes = row["hashes"].values.to_numpy().view(np.uint64)
                 mark = (row["rep"], hashes.tobytes())
                 if mark not in seen:
                     seen.add(mark)
-                    unique.append((row["rep"], row["outside"], hashes))
-            reps = np.array([r for r, _, _ in unique], np.int64)
-            outside = np.array([o for _, o, _ in unique])
-            # Sets linked to the pivot of their group share its label.
-            labels = np.where(outside, np.arange(1, len(reps) + 1), 0)
-            same = {}
-            for k, rep in enumerate(reps.tolist()):
-                labels[k] = labels[same.setdefault(rep, k)]
-            made = linker.links(reps, [h for _, _, h in unique], labels, np.flatnonzero(outside))
+                    unique.append((row["rep"], row["outside"], numbers.setdefault(row["label"], len(numbers)), hashes))
+            reps, outside, labels = (np.array([u[k] for u in unique]) for k in range(3))
+            made = linker.links(reps, [u[3] for u in unique], labels, np.flatnonzero(outside))
             if made:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*made)], schema=_LINKS)
 
-    def pivot_run(batches):
-        for batch in batches:
-            out = []
-            for rep, pivot, mine, its in zip(
-                batch.column("rep").to_pylist(), batch.column("pivot").to_pylist(), batch.column("hashes"), batch.column("its")
-            ):
-                pair = [mine.values.to_numpy().view(np.uint64), its.values.to_numpy().view(np.uint64)]
-                if rep == pivot or linker.links(np.array([rep, pivot]), pair, np.array([0, 1]), np.array([0])):
-                    out.append((rep, pivot))
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], schema=_LINKS)
+    def deal(rows):
+        # Outsiders come first: a set that is both stays one.
+        sorted_rows = rows.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j", F.desc("outside"), "rep")
+        return sorted_rows.select("grp", "i", "j", "rep", "label", "outside", "hashes").mapInArrow(run, "a long, b long")
 
     size = sets.groupBy("grp").agg(F.sum(F.size("hashes")).alias("total"), F.min("rep").alias("pivot"))
-    blocks = F.ceil(F.col("total") / F.lit(block_shingles)).cast("int")
-    size = checkpointed(size.withColumn("blocks", blocks))
-    sized = sets.join(size, "grp")
-    small = sized.where(F.col("blocks") <= 1).select(
-        "grp", F.lit(0).alias("i"), F.lit(0).alias("j"), "rep", F.lit(True).alias("outside"), "hashes"
-    )
-    schema = "a long, b long"
-    deal = lambda df: df.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j", "rep").mapInArrow(run, schema)
-    links = deal(small)
+    size = checkpointed(size.withColumn("blocks", F.ceil(F.col("total") / F.lit(block_shingles)).cast("int")))
+    fresh = sets.join(size, "grp").withColumns({"label": F.col("rep"), "outside": F.lit(True)})
+    zero = F.lit(0)
+    links = deal(fresh.where(F.col("blocks") <= 1).withColumns({"i": zero, "j": zero}))
     if size.where(F.col("blocks") > 1).limit(1).count() == 0:
         return links
 
-    big = sized.where(F.col("blocks") > 1).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    pivots = big.where(F.col("rep") == F.col("pivot")).groupBy("grp").agg(F.min("hashes").alias("its"))
-    tied = checkpointed(big.join(pivots, "grp").select("rep", "pivot", "hashes", "its").mapInArrow(pivot_run, schema))
-    inside = tied.select(F.col("a").alias("rep")).distinct().withColumn("outside", F.lit(False))
-    marked = checkpointed(
-        big.join(inside, "rep", "left").select("grp", "rep", "hashes", "block", "blocks", F.coalesce("outside", F.lit(True)).alias("outside"))
-    )
-    open_blocks = marked.where("outside").groupBy("grp").agg(F.array_sort(F.collect_set("block")).alias("open"))
-    # Task (i, j): the outsiders of block i against each other and, for j, against all sets of block j.
-    mine = marked.where("outside").select(
-        "grp", F.col("block").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), "rep", "outside", "hashes"
-    )
-    theirs = (
-        marked.join(open_blocks, "grp")
-        .select("grp", F.explode("open").alias("i"), F.col("block").alias("j"), "rep", "outside", "hashes")
-        .where(~(F.col("outside") & (F.col("i") == F.col("j"))))
+    # Each block on its own, and with the pivot, which ties the blocks together.
+    big = fresh.where(F.col("blocks") > 1).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    guests = big.where(F.col("rep") == F.col("pivot")).withColumn("i", every("blocks"))
+    inside = checkpointed(deal(big.withColumn("i", F.col("block")).unionByName(guests).withColumn("j", zero)))
+
+    # What is not in the largest component of its group so far meets all blocks of the group.
+    known = components(inside).withColumnsRenamed({"node": "rep", "component": "_label"})
+    labelled = checkpointed(
+        big.drop("label", "outside").join(known, "rep", "left").withColumn("label", F.coalesce("_label", "rep")).drop("_label")
     )
-    return links.unionByName(tied.where(F.col("a") != F.col("b"))).unionByName(deal(mine.unionByName(theirs)))
+    counts = labelled.groupBy("grp", "label").agg(F.count(F.lit(1)).alias("n"))
+    main = counts.groupBy("grp").agg(F.max(F.struct("n", "label"))["label"].alias("_main"))
+    placed = labelled.join(main, "grp").withColumn("outside", F.col("label") != F.col("_main"))
+    tasks = placed.where("outside").groupBy("grp").agg(F.ceil(F.sum(F.size("hashes")) / F.lit(block_shingles)).cast("int").alias("tasks"))
+    placed = placed.join(tasks, "grp")
+    mine = placed.where("outside").withColumn("i", F.pmod(F.xxhash64("rep"), F.col("tasks")).cast("int")).withColumn("j", every("blocks"))
+    theirs = placed.withColumns({"i": every("tasks"), "j": F.col("block"), "outside": F.lit(False)})
+    return links.unionByName(inside).unionByName(deal(mine.unionByName(theirs)))
 
 
 def near_duplicates(
@@ -266,10 +250,8 @@ def near_duplicates(
     classes = checkpointed(
         filled.groupBy("one", "two", "n_shingles").agg(F.min("doc_id").alias("rep"), F.any_value("signature").alias("signature"))
     )
-    groups = checkpointed(candidate_groups(classes, matches))
-    ids = groups.select(F.col("node").alias("doc_id"), F.col("component").alias("grp"))
-    if ids.limit(broadcast_ids + 1).count() <= broadcast_ids:
-        ids = F.broadcast(ids)
+    groups = candidate_groups(classes, matches)
+    ids = ids_for_join(groups.select(F.col("node").alias("doc_id"), F.col("component").alias("grp")), broadcast_ids)
 
     def sets_of(batch):
         return {"hashes": [K.signed(shingle_set(t, shingle)) for t in K.text_bytes(batch.column("text"))]}
@@ -293,7 +275,13 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
     """The documents that stand for their component, with all their columns.
 
     Rows that share a doc_id stay or go together, but for exact repeats of a
-    row's id and text, of which one stays.
+    row's id and text, of which one stays. Only those repeats are shuffled.
     """
-    gone = near_duplicates(docs, **options).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti").dropDuplicates(["doc_id", "text"])
+    result = checkpointed(near_duplicates(docs, **options).select("doc_id", "kept"))
+    gone = ids_for_join(result.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct())
+    repeats = result.groupBy("doc_id").count().where((F.col("count") > 1) & F.col("doc_id").isNotNull())
+    again = ids_for_join(repeats.select(F.col("doc_id").alias("_again")))
+    left = docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    once = left.join(again, left["doc_id"] == F.col("_again"), "left_anti")
+    more = left.join(again, left["doc_id"] == F.col("_again"), "left_semi").dropDuplicates(["doc_id", "text"])
+    return once.unionByName(more)

@@ -220,16 +220,17 @@ class Model:
         self.prior, self.lexicon, self.trees, self.calibration = prior, lexicon, trees, calibration
 
     def score(self, docs: DataFrame) -> DataFrame:
-        """(doc_id, score) of every document."""
+        """(doc, score): every row as a struct of its columns, and its score."""
+        rows = docs.select(F.struct(*docs.columns).alias("doc"))
         if self.trees is None:
-            return docs.select("doc_id", F.lit(self.prior).alias("score"))
+            return rows.withColumn("score", F.lit(self.prior))
         shared = docs.sparkSession.sparkContext.broadcast(self.lexicon)
 
         def run(batch):
-            return {"values": [text_features(t, shared.value) for t in K.text_bytes(batch.column("text"))]}
+            return {"values": [text_features(t, shared.value) for t in K.text_bytes(batch.column("doc").field("text"))]}
 
-        rows = K.map_batches(docs.select("doc_id", "text"), run, "values array<double>", ("doc_id",))
-        return _calibrated(self.trees, self.calibration, rows.select("doc_id", array_to_vector("values").alias("features")))
+        made = K.map_batches(rows, run, "values array<double>", ("doc",))
+        return _calibrated(self.trees, self.calibration, made.select("doc", array_to_vector("values").alias("features")))
 
 
 def _raw(trees, rows: DataFrame) -> DataFrame:
@@ -240,7 +241,7 @@ def _calibrated(trees, calibration, rows: DataFrame) -> DataFrame:
     # A thousandth of the trees' own score keeps the order inside the steps of the calibration.
     scored = calibration.transform(_raw(trees, rows))
     score = 0.999 * F.least(F.greatest("calibrated", F.lit(0.0)), F.lit(1.0)) + 0.001 * F.col("raw")
-    return scored.select("doc_id", score.alias("score"))
+    return scored.select("doc", score.alias("score"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, trees: int = 24, depth: int = 4, seed: int = 11) -> Model:
@@ -274,7 +275,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, trees: int = 2
 
 def scores(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every document."""
-    scored = fit(docs, labels, **options).score(docs)
+    scored = fit(docs, labels, **options).score(docs.select("doc_id", "text")).select("doc.doc_id", "score")
     return scored.select(
         "doc_id",
         F.coalesce(is_held_out(), F.lit(False)).alias("held_out"),
@@ -285,6 +286,5 @@ def scores(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **options) -> DataFrame:
     """The documents scored below ``threshold``, with all their columns."""
-    scored = fit(docs, labels, **options).score(docs.select("doc_id", "text"))
-    bad = scored.where(F.col("score") >= threshold).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_bad")), "left_anti")
+    scored = fit(docs, labels, **options).score(docs)
+    return scored.where(F.col("score") < threshold).select("doc.*")
