@@ -7,6 +7,7 @@ data; the long forms have no such limit.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Mapping, Sequence
 
 import numpy as np
@@ -235,6 +236,10 @@ class OneHotBlock(Estimator):
         return Pipeline(stages=stages).fit(df)
 
 
+#: The eigenvalue routine under computeSVD keeps state between calls: one at a time on a driver.
+_ARPACK = threading.Lock()
+
+
 class TruncatedSVD(Estimator):
     """Rank-k projection X.V without centring, as a native matrix-product stage.
 
@@ -255,7 +260,8 @@ class TruncatedSVD(Estimator):
             k = min(self.k, n)
             if n * k > MAX_DRIVER_CELLS:
                 raise ValueError(f"{n} features x {k} components exceed {MAX_DRIVER_CELLS} driver cells")
-            svd = matrix.computeSVD(k)
+            with _ARPACK:
+                svd = matrix.computeSVD(k)
             v = svd.V.toArray()
         finally:
             kept.unpersist()
