@@ -14,6 +14,7 @@ from ratewise.plans import features as P
 from ratewise.plans import models as M
 from ratewise.plans import tuning as U
 from ratewise.plans.registration import registrar
+from ratewise.plans.text_queries import TEXT_SQL, cells_sql
 from ratewise.session import checkpointed, scratch_path
 from ratewise.sources import reviews as R
 from ratewise.sources import tables as S
@@ -130,7 +131,11 @@ def _content_split(spark: SparkSession, sf_dir: str, k: int | None = None) -> tu
     return checkpointed(model.transform(train).select(*keep)), checkpointed(model.transform(validate).select(*keep))
 
 
-@register("feature_union")
+@register(
+    "feature_union",
+    f"""WITH {TEXT_SQL}, {cells_sql(1, 1, True, 0.01, 0.3)}, c AS (SELECT id, count(*) AS n, sum(value) AS s FROM cells GROUP BY id)
+    SELECT id, CAST(coalesce(n, 0) + 2 AS BIGINT) AS n_cells, round(coalesce(s, 0) + 1, 6) AS total FROM reviews LEFT JOIN c USING (id)""",
+)
 def feature_union(spark, sf_dir):
     """Non-zero cells per document of content, product and author side by side."""
     reviews = review_text(spark, sf_dir).select("id", "content", "product", "author")

@@ -39,7 +39,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/ratewise-{uuid.uuid4().hex}/{name}"
+    """A new place in the shared folder; the file system removes it when the application ends."""
+    folder = f"{shared_dir(spark).rstrip('/')}/ratewise-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(context._jsc.hadoopConfiguration())
+    store.mkdirs(path)
+    store.deleteOnExit(path)
+    return f"{folder}/{name}"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
