@@ -28,19 +28,25 @@ def lookup_join(
     weight: str,
     broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
+    absent: DataFrame | None = None,
 ) -> DataFrame:
     """Inner join of ``facts`` with ``dim``, one row per string ``key``.
 
     ``weight`` is how many fact rows carry the key. A ``dim`` of checked small
     size is broadcast. Otherwise its ``hot_rows`` heaviest keys are broadcast and
-    only the rest is shuffled: a key outside the heaviest H holds at most 1/H of
-    the facts. Rows that found a hot key travel under a salted key that matches
+    only the rest is shuffled: a key of ``dim`` outside its heaviest H holds at
+    most 1/H of the facts. Keys that are frequent in the facts but not in
+    ``dim`` may be named in ``absent``; they leave before the shuffle. Rows that found a hot key travel under a salted key that matches
     nothing, so they spread evenly. ``dim`` should be materialised.
     """
     if fits_broadcast(dim, key, broadcast_rows):
         return facts.join(F.broadcast(dim), key)
+    if absent is not None and fits_broadcast(absent, key):
+        facts = facts.join(F.broadcast(absent.select(key)), key, "left_anti")
     payload = [c for c in dim.columns if c != key]
     packed = dim.select(key, F.struct(*payload).alias("_cold"))
+    widest = dim.agg(F.max(F.octet_length(key))).first()[0] or 0
+    hot_rows = min(hot_rows, max(1, BROADCAST_KEY_BYTES // max(1, widest)))
     hot = dim.orderBy(F.desc(weight), key).limit(hot_rows).select(
         key, F.struct(*payload).alias("_hot")
     )

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewise.functions.text import ngram_range, ngrams, without, word_tokens
-from ratewise.operators.joins import lookup_join
+from ratewise.operators.joins import BROADCAST_ROWS, lookup_join
 from ratewise.operators.lemmas import lemmatize
 from ratewise.operators.ordering import with_position
 from ratewise.session import checkpointed
@@ -79,6 +79,12 @@ def document_frequency(
     Each text emits its distinct terms; partial sums leave one row per term and
     task before the shuffle.
     """
+    counted = _counted(reviews, spec, lemmas)
+    return counted.where(~F.col("_frequent")).drop("_frequent")
+
+
+def _counted(reviews: DataFrame, spec: TermSpec, lemmas: DataFrame | None) -> DataFrame:
+    """Document frequencies from ``min_df`` on; ``_frequent`` marks the terms above ``max_df``."""
     total = reviews.agg(F.count(F.lit(1))).scalar()
     grams = _grams(reviews, spec, lemmas).select("_grams")
     return (
@@ -86,8 +92,9 @@ def document_frequency(
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))
         .withColumn("_n", total)
-        .where((F.col("df") >= spec.min_df * F.col("_n")) & (F.col("df") <= spec.max_df * F.col("_n")))
+        .where(F.col("df") >= spec.min_df * F.col("_n"))
         .select(
+            (F.col("df") > spec.max_df * F.col("_n")).alias("_frequent"),
             "term",
             "df",
             (F.col("df") / F.col("_n")).alias("df_ratio"),
@@ -102,15 +109,23 @@ def vocabulary(frequency: DataFrame) -> DataFrame:
 
 
 def weigh(
-    reviews: DataFrame, spec: TermSpec, frequency: DataFrame, lemmas: DataFrame | None = None
+    reviews: DataFrame,
+    spec: TermSpec,
+    frequency: DataFrame,
+    lemmas: DataFrame | None = None,
+    frequent: DataFrame | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """TF-IDF cells with rows of norm 1; terms outside ``frequency`` are dropped.
 
     ``frequency`` must be materialised. While it is small enough to broadcast,
     the norm is taken where the terms were counted; otherwise the cells go
-    through one shuffle by term and one by id.
+    through one shuffle by term and one by id. ``frequent``, the terms above
+    ``max_df``, are dropped before that shuffle: they are its hottest keys, and
+    at most (mean distinct terms per text) / ``max_df`` of them exist.
     """
-    cells = lookup_join(term_counts(reviews, spec, lemmas), frequency, "term", "df")
+    counts = term_counts(reviews, spec, lemmas)
+    cells = lookup_join(counts, frequency, "term", "df", broadcast_rows, absent=frequent)
     raw = F.col("tf") * F.col("idf")
     norm = F.sqrt(F.sum(raw * raw).over(Window.partitionBy("id")))
     return cells.withColumn("value", raw / norm)
@@ -125,7 +140,9 @@ def fit_frequency(
 
 def tfidf(reviews: DataFrame, spec: TermSpec, lemmas: DataFrame | None = None) -> DataFrame:
     """(id, other columns, term, tf, df, df_ratio, idf, value) of one corpus."""
-    return weigh(reviews, spec, fit_frequency(reviews, spec, lemmas), lemmas)
+    counted = checkpointed(_counted(reviews, spec, lemmas))
+    frequency = counted.where(~F.col("_frequent")).drop("_frequent")
+    return weigh(reviews, spec, frequency, lemmas, counted.where("_frequent").select("term"))
 
 
 # --- reports ------------------------------------------------------------------------

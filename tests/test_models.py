@@ -166,3 +166,16 @@ def test_sparse_cells_of_both_kinds_of_vector(spark):
     rows = [(1, Vectors.dense([0.0, 2.0])), (2, Vectors.sparse(5, [1, 4], [0.0, 3.0])), (3, Vectors.sparse(5, [], []))]
     cells = sparse_cells(spark.createDataFrame(rows, ["id", "v"]), "v").collect()
     assert sorted(map(tuple, cells)) == [(1, 1, 2.0), (2, 4, 3.0)]
+
+
+def test_tfidf_is_the_same_without_a_broadcast_vocabulary(spark):
+    from ratewise.operators import tfidf as V
+
+    reviews = spark.createDataFrame([(i, f"all common t{i % 4} t{i % 7} only{i}") for i in range(40)], "id long, content string")
+    spec = V.TermSpec(1, 2, 0.05, 0.5)
+    cells = lambda df: sorted((r.id, r.term, round(r.value, 9)) for r in df.collect())
+    frequency = V.fit_frequency(reviews, spec)
+    frequent = spark.createDataFrame([("all",), ("common",), ("all common",)], "term string")
+    want = cells(V.tfidf(reviews, spec))
+    assert want == cells(V.weigh(reviews, spec, frequency, None, frequent, broadcast_rows=0))
+    assert want == cells(V.weigh(reviews, spec, frequency, broadcast_rows=0))
