@@ -5,11 +5,12 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from ratewise.plans import registry
 from tests.oracle_check import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = registry.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
 
@@ -26,6 +27,7 @@ def test_matches_sql(spark, con, name):
 
 def test_names():
     assert set(ORACLE) <= set(QUERIES)
+    assert set(entry.oracle_sql()) <= set(entry.queries()) and set(QUERIES) <= set(entry.queries())
 
 
 def test_entry(spark):
