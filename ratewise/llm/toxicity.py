@@ -149,12 +149,16 @@ def is_held_out(doc_id: str = "doc_id") -> Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, size: int, seed: int = 11) -> DataFrame:
     """(doc_id, text, toxic, half, calibrate) of at most ``size`` labelled documents that are not held out.
 
-    The rows with the smallest seeded hashes are taken, a top-k that needs no
-    sort of the labels. The broadcast holds ``size`` short rows at most.
+    The rows with the smallest seeded hashes are taken: a bound on the hash that
+    lets somewhat more than ``size`` pass, then a top-k of those. The broadcast
+    holds ``size`` short rows at most.
     """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out())
     known = known.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    chosen = known.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id")).orderBy("_h", "doc_id").limit(size)
+    known = checkpointed(known.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id")))
+    share = min(1.0, (size + 8 * size**0.5) / max(1, known.count()))
+    bound = min(2**63 - 1, int(2**64 * share) - 2**63)
+    chosen = known.where(F.col("_h") <= bound).orderBy("_h", "doc_id").limit(size)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic", "_h")
     return rows.select("doc_id", "text", "toxic", (F.col("_h") % 2 == 0).alias("half"), (F.shiftright("_h", 8) % 4 == 0).alias("calibrate"))
 

@@ -45,6 +45,15 @@ def test_toxicity_on_held_out_documents(spark):
     assert {r.doc_id for r in toxicity.without_toxic(docs, table).collect()} == {r.doc_id for r in got if not r.predicted}
 
 
+def test_the_sample_is_bounded(spark):
+    rows, labels = toxic_corpus(3000)
+    docs, table = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    taken = [sorted(r.doc_id for r in toxicity.labelled_sample(d, table, 200).collect()) for d in (docs, docs.repartition(7))]
+    assert taken[0] == taken[1] and len(taken[0]) == 200
+    assert not any(zlib.crc32(str(d).encode()) % 5 == 0 for d in taken[0])
+    assert toxicity.labelled_sample(docs, table, 100_000).count() == sum(zlib.crc32(str(d).encode()) % 5 != 0 for d, _ in rows)
+
+
 def test_toxicity_without_examples(spark):
     docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
