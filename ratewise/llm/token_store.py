@@ -15,6 +15,7 @@ rows; only doc_id and text are stored.
 from __future__ import annotations
 
 import functools
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -25,17 +26,22 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ratewise.llm import kernels as K
+from ratewise.llm.sizes import ids_for_join
 
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 128 << 10
 #: Words whose ids a task remembers; the memory starts afresh when it is full.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 600_000
 
 _TAIL = b".,;:!?"
 # Characters that byte-level BPE puts for bytes outside its printable ones.
 _SHIFTED = {b: 0x100 + i for i, b in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD])}
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordEncoder:
     """Ids of a text, word by word, equal to those of the tokenizer's own ``encode``.
 
@@ -52,26 +58,27 @@ class WordEncoder:
         self.memo: dict[bytes, bytes] = {}
         self.memo_words = memo_words
 
-    def _full(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+    def _full(self, word: bytes) -> bytes:
+        return _packed(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids)
 
     def _word(self, word: bytes) -> bytes:
         core = word.rstrip(_TAIL)
-        text = core.decode("utf-8", "replace")
-        lower = text.lower()
-        if not (lower.isalpha() and max(lower) < "ɐ" and max(text) < "ɐ"):
-            return self._full(word.decode("utf-8", "replace"))
-        key = lower.encode("utf-8")
+        if core.isascii():
+            if not core.isalpha():
+                return self._full(word)
+            key = core.lower()
+            piece = key.decode("ascii")
+        else:
+            text = core.decode("utf-8", "replace")
+            lower = text.lower()
+            if not (lower.isalpha() and max(lower) < "ɐ" and max(text) < "ɐ"):
+                return self._full(word)
+            key = lower.encode("utf-8")
+            piece = key.decode("latin-1").translate(_SHIFTED)
         ids = self.memo.get(key)
         if ids is None:
-            piece = key.decode("latin-1").translate(_SHIFTED)
-            ids = np.array([t.id for t in self.model.tokenize(piece)], "<u4").tobytes()
-            self.memo[key] = ids
-        tail = word[len(core) :]
-        return ids + self._remembered(tail, self._full_bytes) if tail else ids
-
-    def _full_bytes(self, word: bytes) -> bytes:
-        return self._full(word.decode("ascii"))
+            ids = self.memo[key] = _packed([t.id for t in self.model.tokenize(piece)])
+        return ids + self._remembered(word[len(core) :], self._full) if len(core) < len(word) else ids
 
     def _remembered(self, word: bytes, make) -> bytes:
         ids = self.memo.get(word)
@@ -147,13 +154,13 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, tokens); ``start`` counts the ids of all documents before.
 
     A filter on doc_id or a choice of columns reaches the files. The window
-    sees one row per file.
+    sees one row per file; these rows are broadcast after a check of their number.
     """
     stored = spark.read.schema(_STORED).parquet(path)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = stored.groupBy("part").agg(F.sum("n_tokens").alias("_n"))
     parts = parts.select(F.col("part"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return stored.join(F.broadcast(parts), "part").select(
+    return stored.join(ids_for_join(parts), "part").select(
         "doc_id", (F.col("_before") + F.col("local_start")).alias("start"), "n_tokens", "tokens"
     )
 
