@@ -105,6 +105,31 @@ def test_surrogates_keep_type_format_distinctness_and_reference(spark):
         assert surrogates._luhn(digits) == 0
 
 
+def test_people_keep_their_surrogate_in_every_form(spark):
+    rows = [
+        (1, "Mrs Clara Miller met Mrs Miller. Dr Clara Miller left; CLARA MILLER, Clara and Miller's dog stayed. Mr Miller-Smith came."),
+        (2, "Prof Zelda Quast spoke."), (3, "Mrs Zelda Quast spoke; Quast-Haus, Zelda-Maria."), (4, "Clara Miller has no title here."),
+        (5, "Frau Anna-Maria Vogt, Frau Maria Vogt, Dr Vogt, Anna Vogt; Mr Kim Vogt and Kim."),
+        *((100 + i, f"Mrs {name} Miller") for i, name in enumerate(f"N{a}{b}" for a in "aeiou" for b in "bcdfgklmnr")),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for limit in (500_000, -1):
+        got = {r.doc_id: r.text for r in surrogates.pseudonymised(docs, KEY, broadcast_entities=limit).collect()}
+        first, last = got[1].split("Mrs ")[1].split(" met")[0].split(" ")
+        assert got[1].startswith(
+            f"Mrs {first} {last} met Mrs {last}. Dr {first} {last} left; {first.upper()} {last.upper()}, {first} and {last}'s dog stayed. Mr "
+        )
+        assert first in surrogates.GIVEN["f", "latin"] and {"Clara", "Miller"}.isdisjoint({first, last})
+        zelda, quast = got[2].removeprefix("Prof ").split(" ")[:2]
+        assert got[3] == f"Mrs {zelda} {quast} spoke; {quast}-Haus, {zelda}-Maria." and zelda in surrogates.GIVEN["f", "latin"]
+        assert got[4] == rows[3][1]
+        anna, maria, vogt = got[5].removeprefix("Frau ").split(",")[0].replace("-", " ").split(" ")
+        kim = got[5].rsplit(" ", 1)[1].rstrip(".")
+        assert got[5] == f"Frau {anna}-{maria} {vogt}, Frau {maria} {vogt}, Dr {vogt}, {anna} {vogt}; Mr {kim} {vogt} and {kim}."
+        namesakes = [got[d].split(" ")[1:] for d, _ in rows[5:]]
+        assert {s for _, s in namesakes} == {last} and len({f for f, _ in namesakes} | {first}) == len(namesakes) + 1
+
+
 def test_clashes_are_resolved(spark):
     known = spark.createDataFrame([("ip", f"10.0.0.{i}") for i in range(1, 255)] + [("email", f"{c}@b.de") for c in "abcdefgh"], "kind string, canonical string")
     made = surrogates.attempts(known, KEY).collect()
