@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ratewise.llm import bloom
 from ratewise.llm import kernels as K
-from ratewise.llm.sizes import ids_for_join
+from ratewise.llm.sizes import ids_for_join, text_key
 from ratewise.session import checkpointed
 
 _BENCH_BITS = 24  # 2 MB, whatever the benchmark's size
@@ -68,7 +68,7 @@ def benchmark_spans(benchmark: DataFrame, span: int, k: int) -> DataFrame:
 
 
 def _candidates(docs: DataFrame, known: bloom.Filter, short: tuple[int, ...], span: int, k: int) -> DataFrame:
-    """(row, doc_id, n_words, found): per document its fingerprints that the benchmark may have.
+    """(row, doc_id, text_key, n_words, found): per document its fingerprints that the benchmark may have.
 
     ``found`` holds fingerprint, length (``span`` for winnowed ones), the word
     position ``start`` of the first word of ``words``, and the fingerprint's
@@ -101,17 +101,17 @@ def _candidates(docs: DataFrame, known: bloom.Filter, short: tuple[int, ...], sp
         return {"n_words": counts, "found": found}
 
     made = K.map_batches(
-        docs.select("doc_id", "text"),
+        docs.select("doc_id", "text", text_key().alias("text_key")),
         run,
         "n_words long, found array<struct<fp: long, length: int, start: int, at: int, words: array<string>>>",
-        ("doc_id",),
+        ("doc_id", "text_key"),
         rows=256,
     )
     return made.withColumn("row", F.monotonically_increasing_id())
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, span: int = 10, k: int = 5, filter_bits: int = _BENCH_BITS) -> DataFrame:
-    """(row, doc_id, n_words, spans, items): per document the hit spans [start, length] and the items found."""
+    """(row, doc_id, text_key, n_words, spans, items): per document the hit spans [start, length] and the items found."""
     spans = checkpointed(benchmark_spans(benchmark, span, k))
     short = tuple(sorted(r.length for r in spans.where(F.col("length") < span).select("length").distinct().collect()))
     known = bloom.build(spans.select(F.array("fp").alias("fps")), "fps", filter_bits, "once")
@@ -139,9 +139,10 @@ def hits(docs: DataFrame, benchmark: DataFrame, span: int = 10, k: int = 5, filt
     )
     found = covered.join(items, "row")
     none = F.array().cast("array<struct<start:int,length:int>>")
-    return rows.select("row", "doc_id", "n_words").join(found, "row", "left").select(
+    return rows.select("row", "doc_id", "text_key", "n_words").join(found, "row", "left").select(
         "row",
         "doc_id",
+        "text_key",
         "n_words",
         F.coalesce("spans", none).alias("spans"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
@@ -171,7 +172,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, span: int = 10, k: int = 5, **op
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, span: int = 10, k: int = 5, **options) -> DataFrame:
-    """The documents without a hit, with all their columns; rows with one doc_id go together."""
+    """The documents without a hit, with all their columns; each row is judged by its own text."""
     found = hits(docs, benchmark, span, k, **options).where(F.size("items") > 0)
-    bad = ids_for_join(found.select(F.col("doc_id").alias("_bad")).distinct())
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_bad")), "left_anti")
+    bad = ids_for_join(found.select(F.col("doc_id").alias("_bad"), F.col("text_key").alias("_bad_text")).distinct())
+    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_bad")) & (text_key() == F.col("_bad_text")), "left_anti")

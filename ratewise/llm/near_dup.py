@@ -2,7 +2,8 @@
 
 1. Each text becomes its set of distinct word shingles, as 64-bit hashes, an
    identity of 128 bits for the whole set, and ``coordinates`` MinHash values.
-   Documents with one set form a class; only its smallest doc_id goes on.
+   Documents with one set form a class with a number; only its first document,
+   by doc_id and a hash of the text, goes on.
 2. A class is posted under its (coordinate, value) pairs. Pairs that occur once
    cannot collide and are skipped. Two sets above the threshold agree in at
    least ``matches`` coordinates (but for a chance of MISS), so a class with
@@ -17,12 +18,13 @@
    pivot; what is then not in the largest component of its group meets all
    blocks of the group, so a task holds two blocks at most. Only links that
    join something new are written.
-5. Components of the confirmed links give every document its component.
+5. Components of the confirmed links give every document its component, named
+   after its smallest doc_id. Its first document is kept.
 
 Defined results: a text without words has no shingles and is linked with
-nothing; rows with the same doc_id are one node; a row without doc_id takes no
-part and has no component; an empty table gives no rows; only doc_id and text
-are read.
+nothing; each row is a document of its own, also if a doc_id repeats, and of a
+kept document all exact repeats are; a row without doc_id takes no part and
+has no component; an empty table gives no rows; only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ from pyspark.sql import functions as F
 
 from ratewise.llm import kernels as K
 from ratewise.llm.components import components
-from ratewise.llm.sizes import BROADCAST_IDS, ids_for_join
+from ratewise.llm.sizes import BROADCAST_IDS, ids_for_join, text_key
 from ratewise.session import checkpointed
 
 COORDINATES = 40
@@ -79,7 +81,7 @@ def signature(hashes: np.ndarray, coordinates: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, size: int, coordinates: int) -> DataFrame:
-    """(doc_id, n_shingles, one, two, signature) of every document."""
+    """(doc_id, text_key, n_shingles, one, two, signature) of every document."""
 
     def run(batch):
         out = {"n_shingles": [], "one": [], "two": [], "signature": []}
@@ -94,7 +96,10 @@ def fingerprints(docs: DataFrame, size: int, coordinates: int) -> DataFrame:
         return out
 
     return K.map_batches(
-        docs.select("doc_id", "text"), run, "n_shingles long, one long, two long, signature array<long>", ("doc_id",)
+        docs.select("doc_id", "text", text_key().alias("text_key")),
+        run,
+        "n_shingles long, one long, two long, signature array<long>",
+        ("doc_id", "text_key"),
     )
 
 
@@ -235,7 +240,7 @@ def confirmed_links(sets: DataFrame, similarity: float, matches: int, coordinate
     return links.unionByName(inside).unionByName(deal(mine.unionByName(theirs)))
 
 
-def near_duplicates(
+def _judged(
     docs: DataFrame,
     shingle: int = 5,
     similarity: float = 0.8,
@@ -243,45 +248,65 @@ def near_duplicates(
     block_shingles: int = BLOCK_SHINGLES,
     broadcast_ids: int = BROADCAST_IDS,
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every document."""
+    """(doc_id, text_key, n_shingles, component_id, kept) of every document."""
     matches = matches_for(similarity, coordinates)
     prints = checkpointed(fingerprints(docs, shingle, coordinates))
     filled = prints.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    classes = checkpointed(
-        filled.groupBy("one", "two", "n_shingles").agg(F.min("doc_id").alias("rep"), F.any_value("signature").alias("signature"))
-    )
+    first = F.min(F.struct("doc_id", "text_key")).alias("first")
+    classes = filled.groupBy("one", "two", "n_shingles").agg(first, F.any_value("signature").alias("signature"))
+    # Numbers, as two classes may have one doc_id.
+    classes = checkpointed(classes.withColumn("rep", F.monotonically_increasing_id()))
     groups = candidate_groups(classes, matches)
-    ids = ids_for_join(groups.select(F.col("node").alias("doc_id"), F.col("component").alias("grp")), broadcast_ids)
+    members = groups.join(classes, groups["node"] == classes["rep"]).select(
+        F.col("first.doc_id").alias("doc_id"), F.col("first.text_key").alias("_key"), "rep", F.col("component").alias("grp")
+    )
+    # These rows are some four times as wide as an id.
+    ids = ids_for_join(members, broadcast_ids // 4)
 
     def sets_of(batch):
         return {"hashes": [K.signed(shingle_set(t, shingle)) for t in K.text_bytes(batch.column("text"))]}
 
-    texts = docs.select("doc_id", "text").join(ids, "doc_id").select(F.col("doc_id").alias("rep"), "grp", "text")
+    keyed = docs.select("doc_id", "text", text_key().alias("_key"))
+    texts = keyed.join(ids, ["doc_id", "_key"]).select("rep", "grp", "text")
     sets = K.map_batches(texts, sets_of, "hashes array<long>", ("rep", "grp")).where(F.size("hashes") > 0)
     found = components(confirmed_links(checkpointed(sets), similarity, matches, coordinates, block_shingles))
-    # Classes that share a representative are one node.
-    placed = classes.join(found, classes["rep"] == found["node"], "left").select(
-        "one", "two", "n_shingles", F.coalesce("component", "rep").alias("component_id")
+    linked = checkpointed(found.join(classes.select("rep", "first"), found["node"] == F.col("rep")).select("rep", "component", "first"))
+    heads = linked.groupBy("component").agg(F.min("first").alias("head"))
+    placed = classes.join(linked.select("rep", "component").join(heads, "component"), "rep", "left").select(
+        "one", "two", "n_shingles", F.coalesce("head", "first").alias("head")
+    )
+    joined = filled.select("doc_id", "text_key", "one", "two", "n_shingles").join(placed, ["one", "two", "n_shingles"])
+    judged = joined.select(
+        "doc_id",
+        "text_key",
+        "n_shingles",
+        F.col("head.doc_id").alias("component_id"),
+        (F.struct("doc_id", "text_key") == F.col("head")).alias("kept"),
     )
-    linked = filled.join(placed, ["one", "two", "n_shingles"]).select("doc_id", "n_shingles", "component_id")
     alone = prints.where((F.col("n_shingles") == 0) | F.col("doc_id").isNull()).select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
+        "doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept")
     )
-    both = linked.unionByName(alone)
-    return both.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    return judged.unionByName(alone)
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, **options) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every document."""
+    return _judged(docs, shingle, similarity, **options).drop("text_key")
 
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
     """The documents that stand for their component, with all their columns.
 
-    Rows that share a doc_id stay or go together, but for exact repeats of a
-    row's id and text, of which one stays. Only those repeats are shuffled.
+    Each row is judged by its own text. Of exact repeats of a row's id and text
+    one stays; only those repeats are shuffled.
     """
-    result = checkpointed(near_duplicates(docs, **options).select("doc_id", "kept"))
-    gone = ids_for_join(result.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct())
-    repeats = result.groupBy("doc_id").count().where((F.col("count") > 1) & F.col("doc_id").isNotNull())
-    again = ids_for_join(repeats.select(F.col("doc_id").alias("_again")))
-    left = docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
-    once = left.join(again, left["doc_id"] == F.col("_again"), "left_anti")
-    more = left.join(again, left["doc_id"] == F.col("_again"), "left_semi").dropDuplicates(["doc_id", "text"])
+    result = checkpointed(_judged(docs, **options).select("doc_id", "text_key", "kept"))
+    named = lambda rows, name: rows.select(F.col("doc_id").alias(f"_{name}"), F.col("text_key").alias(f"_{name}_text"))
+    gone = ids_for_join(named(result.where(~F.col("kept")), "gone").distinct())
+    repeats = result.where(F.col("kept")).groupBy("doc_id", "text_key").count().where((F.col("count") > 1) & F.col("doc_id").isNotNull())
+    again = ids_for_join(named(repeats, "again"))
+    same = lambda name: (docs["doc_id"] == F.col(f"_{name}")) & (text_key() == F.col(f"_{name}_text"))
+    left = docs.join(gone, same("gone"), "left_anti")
+    once = left.join(again, same("again"), "left_anti")
+    more = left.join(again, same("again"), "left_semi").dropDuplicates(["doc_id", "text"])
     return once.unionByName(more)

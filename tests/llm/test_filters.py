@@ -131,6 +131,15 @@ def test_decontamination(spark):
     assert decontamination.scan(table.limit(0), bench).count() == 0
 
 
+def test_clean_judges_each_row_by_its_text(spark):
+    passage = " ".join(f"p{i}" for i in range(12))
+    rows = [(None, passage), (None, "clean"), (None, None), (7, "so " + passage), (7, "clean too"), (8, ""), (9, "clean")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    got = [(r.doc_id, r.text) for r in decontamination.clean(docs, bench).collect()]
+    assert sorted(got, key=str) == sorted([rows[1], rows[2], *rows[4:]], key=str)
+
+
 def test_quality_measures(spark, docs):
     again = " ".join("abcdefgh") + " x "
     rows = [(20, again + again + again, "en", "a", 0, ""), (21, "a\na \na\n\n\na b#|", "en", "a", 0, ""), (22, " ".join(map(str, range(30))), "en", "a", 0, "")]

@@ -76,6 +76,19 @@ def test_nulls_repeats_and_clashing_columns(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "4", "None"]
 
 
+def test_rows_of_one_id_are_judged_by_their_text(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    near = a + " more"
+    rows = [(3, a), (5, near), (5, b), (5, b), (6, b.upper()), (7, c), (7, c + " more"), (8, None), (8, ""), (None, a), (None, b)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in near_dup.near_duplicates(docs).collect() if r.doc_id)
+    assert got[:6] == [(3, 3, True), (5, 3, False), (5, 5, True), (5, 5, True), (6, 5, False), (7, 7, False)] and got[6] == (7, 7, True)
+    for limit in (1_000_000, 0):
+        kept = [(r.doc_id, r.text) for r in near_dup.deduplicated(docs, broadcast_ids=limit).collect()]
+        assert sorted(t for d, t in kept if d in (3, 5, 6)) == [a, b] and len([d for d, _ in kept if d == 7]) == 1
+        assert sorted(str(t) for d, t in kept if d == 8) == ["", "None"] and sorted(t for d, t in kept if d is None) == [a, b]
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert near_dup.near_duplicates(docs).count() == 0
