@@ -115,9 +115,9 @@ def sampling_plan(sized: DataFrame, plan: DataFrame) -> DataFrame:
     joined = plan.join(edge.select("_source", "_edge"), F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
     joined = joined.join(cuts, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
     # Nothing of the edge cell fits: all earlier cells are taken, and they sort below its bare digits.
-    return joined.select(
-        "source", "source_size", "target", "whole", F.coalesce(F.col("_last"), F.col("_edge")).alias("cut")
-    )
+    # Without a rest nothing is taken once more, not even documents without words.
+    cut = F.when(F.col("_rest") > 0, F.coalesce(F.col("_last"), F.col("_edge")))
+    return joined.select("source", "source_size", "target", "whole", cut.alias("cut"))
 
 
 def _small(sources: DataFrame, rows: int = 100_000) -> bool:

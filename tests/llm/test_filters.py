@@ -198,3 +198,10 @@ def test_mixing(spark, docs):
     assert sum(len(r.text.split()) for r in mixing.repeated(plain).collect() if r.text and r.source is not None) == sum(
         r.taken for r in got if r.source is not None
     )
+
+
+def test_no_copy_above_the_most_repetitions(spark):
+    rows = [(i, "w w w" if i % 25 == 0 else " ", "a") for i in range(200)] + [(1000 + i, "w " * 50, "b") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    copies = {r.doc_id: r["count"] for r in mixing.repeated(docs, max_epochs=3.0).groupBy("doc_id").count().collect()}
+    assert {copies[i] for i in range(200)} == {3}
