@@ -2,10 +2,24 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import decontamination, edit_counts, line_dedup, mixing, near_dup, quality, shards, surrogates, token_store, toxicity
+from ratewise.llm import (
+    decontamination,
+    edit_counts,
+    line_dedup,
+    mixing,
+    near_dup,
+    periodic_runs,
+    quality,
+    shards,
+    surrogates,
+    token_store,
+    toxicity,
+)
 from ratewise.session import scratch_path
 
 QUERIES = {}
@@ -267,3 +281,72 @@ def op1_edit_counts(spark, sf_dir):
     return edit_counts.apply_edits(trees, vocabulary()).select(
         "doc_id", "n_edits", "tokens_before", "tokens_after", "n_chars", "chars_encoded"
     )
+
+
+# --- op12: periodic runs ----------------------------------------------------------------
+
+# CRC-32 in SQL: the table of all bytes, and the checksum of an ASCII string with it.
+_CRC_TABLE = """crc AS (SELECT list(list_reduce(list_prepend(b, [0, 0, 0, 0, 0, 0, 0, 0]),
+    lambda x, y: xor(x >> 1, (x & 1) * 3988292384)) ORDER BY b) AS t FROM range(256) r(b))"""
+
+
+def _crc_sql(text: str) -> str:
+    codes = f"list_transform(string_split({text}, ''), lambda c: CAST(ord(c) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295, {codes}), lambda x, c: xor(x >> 8, t[(xor(x, c) & 255) + 1])), 4294967295)"
+
+
+_RUNS_SQL = f"""WITH {_CRC_TABLE},
+split AS (SELECT row_number() OVER () AS row, doc_id, {_WORD.format("coalesce(text, '')")} AS words FROM documents),
+hashed AS (SELECT row, doc_id, words, len(words) AS n, {_crc_sql("CAST(doc_id AS VARCHAR)")} AS h FROM split, crc),
+aimed AS (SELECT *, CASE WHEN n > 0 THEN (h // 10) % n ELSE 0 END AS a FROM hashed),
+sized AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM aimed),
+docs AS (SELECT row, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n),
+    lambda i: words[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) ELSE words END AS words FROM sized),
+places AS (SELECT row, n, CAST(unnest(range(n)) AS BIGINT) AS i, unnest(words) AS w FROM docs),
+equal AS (SELECT x.row, x.i, y.i - x.i AS q FROM places x JOIN places y ON x.row = y.row AND x.w = y.w AND y.i > x.i AND 3 * (y.i - x.i) <= x.n),
+stretches AS (SELECT row, q, min(i) AS s, count(*) + q AS len FROM
+  (SELECT row, q, i, i - row_number() OVER (PARTITION BY row, q ORDER BY i) AS island FROM equal) GROUP BY row, q, island HAVING count(*) + q >= greatest(24, 3 * q)),
+runs AS (SELECT * FROM stretches x WHERE NOT EXISTS
+  (SELECT 1 FROM stretches y WHERE y.row = x.row AND y.q < x.q AND y.s <= x.s AND y.s + y.len >= x.s + x.len)),
+listed AS (SELECT row, count(*) AS n_runs, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS text FROM runs GROUP BY row),
+best AS (SELECT * FROM runs x WHERE NOT EXISTS (SELECT 1 FROM runs y WHERE y.row = x.row AND
+  (y.len * x.q > x.len * y.q OR (y.len * x.q = x.len * y.q AND (y.s < x.s OR (y.s = x.s AND y.q < x.q)))))),
+dropped AS (SELECT DISTINCT row, unnest(range(s + q, s + len)) AS i FROM runs),
+kept AS (SELECT row, string_agg(w, ' ' ORDER BY i) AS text FROM places ANTI JOIN dropped USING (row, i) GROUP BY row)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(s AS BIGINT) AS start, CAST(len AS BIGINT) AS length, CAST(q AS BIGINT) AS period,
+  CAST(1000 * len // q AS BIGINT) AS exponent_milli, sha256(coalesce(l.text, '')) AS runs_sha256, sha256(coalesce(k.text, '')) AS collapsed_sha256
+FROM docs LEFT JOIN listed l USING (row) LEFT JOIN best USING (row) LEFT JOIN kept k USING (row)"""
+
+
+def planted_run(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """A tenth of the documents, by their id, ends in a repetition of some of its own words; a row without id stays as it is."""
+    if doc_id is None or not words:
+        return words
+    part, rest = divmod(zlib.crc32(str(doc_id).encode("ascii")), 10)
+    if rest:
+        return words
+    n = len(words)
+    at = part % n
+    period = 1 + (n - at) // (3 + part % 8)
+    return words[:at] + [words[at + i % period] for i in range(n - at)]
+
+
+def _sha256(text):
+    return F.sha2(text.cast("binary"), 256)
+
+
+@register("op12_periodic_runs", _RUNS_SQL)
+def op12_periodic_runs(spark, sf_dir):
+    """Runs of at least 24 words and three periods in every text, a tenth of them with a planted one."""
+    found = periodic_runs.periodic_runs(documents(spark, sf_dir), min_words=24, min_repeats=3, rewrite=planted_run)
+    line = lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"])
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("longest.start").alias("start"),
+        F.col("longest.length").alias("length"),
+        F.col("longest.period").alias("period"),
+        F.floor(F.expr("(1000 * longest.length) div longest.period")).alias("exponent_milli"),
+        _sha256(F.array_join(F.transform("runs", line), "")).alias("runs_sha256"),
+        _sha256(F.col("collapsed")).alias("collapsed_sha256"),
+    )
