@@ -19,6 +19,7 @@ from ratewise.llm import (
     surrogates,
     token_store,
     toxicity,
+    turn_repair,
 )
 from ratewise.session import scratch_path
 
@@ -283,7 +284,7 @@ def op1_edit_counts(spark, sf_dir):
     )
 
 
-# --- op12: periodic runs ----------------------------------------------------------------
+# --- op11: conversation structure ---------------------------------------------------------
 
 # CRC-32 in SQL: the table of all bytes, and the checksum of an ASCII string with it.
 _CRC_TABLE = """crc AS (SELECT list(list_reduce(list_prepend(b, [0, 0, 0, 0, 0, 0, 0, 0]),
@@ -295,6 +296,88 @@ def _crc_sql(text: str) -> str:
     return f"xor(list_reduce(list_prepend(4294967295, {codes}), lambda x, c: xor(x >> 8, t[(xor(x, c) & 255) + 1])), 4294967295)"
 
 
+# Edits in SQL: every state keeps its cheapest repair so far, with the audit and the text themselves.
+_REPAIR_SQL = f"""WITH RECURSIVE {_CRC_TABLE},
+rows AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc_sql("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS h FROM conversations, crc),
+damaged AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+    CASE h WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE WHEN h = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM rows WHERE h <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i, left(role, 1) AS initial,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM damaged),
+judged AS (SELECT *, CASE WHEN bare = '' THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+    coalesce(lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au'), false) AS illegal FROM placed),
+inserts(p, q, cost, letters, added) AS (VALUES (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''),
+    (0, 2, 5, 'I', 'user:' || chr(10)), (1, 2, 5, 'I', 'user:' || chr(10)), (3, 2, 5, 'I', 'user:' || chr(10)), (2, 3, 5, 'I', 'assistant:' || chr(10)),
+    (0, 3, 10, 'II', 'user:' || chr(10) || 'assistant:' || chr(10)), (1, 3, 10, 'II', 'user:' || chr(10) || 'assistant:' || chr(10))),
+edits(p, q, cost, letter, initial, given) AS (VALUES (0, 0, 2, 'D', '', ''), (1, 1, 2, 'D', '', ''), (2, 2, 2, 'D', '', ''), (3, 3, 2, 'D', '', ''),
+    (0, 1, 0, 'K', 's', ''), (0, 2, 0, 'K', 'u', ''), (1, 2, 0, 'K', 'u', ''), (3, 2, 0, 'K', 'u', ''), (2, 3, 0, 'K', 'a', ''),
+    (0, 2, 1, 'R', '', 'user'), (1, 2, 1, 'R', '', 'user'), (3, 2, 1, 'R', '', 'user'), (2, 3, 1, 'R', '', 'assistant')),
+best(conv_id, i, state, way) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, 0, {{'cost': 0::BIGINT, 'audit': '', 'text': ''}} FROM damaged
+  UNION ALL
+  SELECT b.conv_id, b.i + 1, e.q, min({{
+      'cost': b.way.cost + n.cost + e.cost + CASE WHEN e.letter <> 'D' AND j.fault = 'truncated' THEN 5 ELSE 0 END,
+      'audit': b.way.audit || n.letters || e.letter,
+      'text': b.way.text || n.added || CASE e.letter WHEN 'D' THEN '' WHEN 'K' THEN j.role || ':' || j.text || chr(10) ELSE e.given || ':' || j.text || chr(10) END}})
+  FROM best b JOIN judged j ON b.conv_id IS NOT DISTINCT FROM j.conv_id AND j.i = b.i + 1
+    JOIN inserts n ON n.p = b.state
+    JOIN edits e ON e.p = n.q AND (e.letter = 'D' OR j.fault IS NULL OR j.fault = 'truncated') AND (e.letter <> 'K' OR e.initial = j.initial)
+  GROUP BY b.conv_id, b.i + 1, e.q),
+counts AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal FROM judged GROUP BY conv_id),
+ended AS (SELECT b.conv_id, min({{'cost': b.way.cost + n.cost, 'audit': b.way.audit || n.letters, 'text': b.way.text || n.added}}) AS way
+  FROM best b JOIN counts c ON b.conv_id IS NOT DISTINCT FROM c.conv_id AND b.i = c.n JOIN inserts n ON n.p = b.state AND n.q IN (0, 3) GROUP BY b.conv_id)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+  CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+  CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(way.cost, 0) AS BIGINT) AS cost, coalesce(way.audit, '') AS audit,
+  sha256(CASE WHEN length(way.text) > 0 THEN left(way.text, length(way.text) - 1) ELSE '' END) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
+  LEFT JOIN ended e ON o.conv_id IS NOT DISTINCT FROM e.conv_id"""
+
+
+def damaged_turns(turns: DataFrame) -> DataFrame:
+    """Turns with planted faults, by a checksum of ``conv_id:turn``; nulls are one space."""
+    spaced = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(spaced("conv_id"), F.lit(":"), spaced("turn"))) % 20
+    told = turns.select("conv_id", "turn", spaced("role").alias("role"), spaced("text").alias("text"), kind.alias("_kind"))
+    is_kind = lambda n: F.col("_kind") == n
+    text = F.when(is_kind(1), "").when(is_kind(2), F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    copies = F.when(is_kind(3), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return told.where(~is_kind(0)).select(
+        "conv_id", "turn", F.when(is_kind(4), "user").otherwise(F.col("role")).alias("role"), text.alias("text"), F.explode(copies).alias("_copy")
+    ).drop("_copy")
+
+
+def _same_conv(left: DataFrame, right: DataFrame):
+    return left["conv_id"].eqNullSafe(right["conv_id"])
+
+
+@register("op11_turn_repair", _REPAIR_SQL)
+def op11_turn_repair(spark, sf_dir):
+    """Least repairs of all conversations after planted faults."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    report, repaired = turn_repair.repair(damaged_turns(turns))
+    digests = turn_repair.conversation_digests(repaired)
+    every = turns.select("conv_id").distinct()
+    told = every.join(report, _same_conv(every, report), "left").drop(report["conv_id"])
+    told = told.join(digests, _same_conv(every, digests), "left").drop(digests["conv_id"])
+    number = lambda name: F.coalesce(name, F.lit(0).cast("long")).alias(name)
+    # A conversation without turns after the damage has no report: zeros; a gap that 64 bits cannot tell stays null.
+    return told.select(
+        "conv_id",
+        F.when(F.col("audit").isNull(), F.lit(0).cast("long")).otherwise(F.col("gaps")).alias("gaps"),
+        *map(number, ("blank", "duplicate", "truncated", "illegal", "cost")),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
+# --- op12: periodic runs ----------------------------------------------------------------
+
 _RUNS_SQL = f"""WITH {_CRC_TABLE},
 split AS (SELECT row_number() OVER () AS row, doc_id, {_WORD.format("coalesce(text, '')")} AS words FROM documents),
 hashed AS (SELECT row, doc_id, words, len(words) AS n, {_crc_sql("CAST(doc_id AS VARCHAR)")} AS h FROM split, crc),
