@@ -16,6 +16,7 @@ from ratewise.llm import (
     periodic_runs,
     quality,
     shards,
+    signature_join,
     surrogates,
     token_store,
     toxicity,
@@ -133,19 +134,21 @@ def op7_decontamination(spark, sf_dir):
 
 # --- op10: near duplicates -----------------------------------------------------------
 
-_NEAR_SQL = f"""WITH RECURSIVE docs AS (SELECT doc_id, {_WORD.format(_ASCII_LOWER.format("coalesce(text, '')"))} AS words FROM documents),
+def _linked_sql(percent: int, columns: str) -> str:
+    """Components of documents by the similarity of their sets of 3-word shingles."""
+    return f"""WITH RECURSIVE docs AS (SELECT doc_id, {_WORD.format(_ASCII_LOWER.format("coalesce(text, '')"))} AS words FROM documents),
 sets AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + least(len(words), 3) - 1], ' ') AS s
   FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, 1) + 1)) AS i FROM docs WHERE len(words) > 0)),
 sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
 pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
 links AS MATERIALIZED (SELECT p.a, p.b FROM pairs p JOIN sizes x ON p.a = x.doc_id JOIN sizes y ON p.b = y.doc_id
-  WHERE 100 * p.both >= 85 * (x.n + y.n - p.both)),
+  WHERE 100 * p.both >= {percent} * (x.n + y.n - p.both)),
 reach(a, b) AS (SELECT doc_id, doc_id FROM docs UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
-SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, r.component_id, d.doc_id = r.component_id AS kept
+SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, {columns}
 FROM docs d LEFT JOIN sizes s USING (doc_id) JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON d.doc_id = r.a"""
 
 
-@register("op10_near_dup", _NEAR_SQL)
+@register("op10_near_dup", _linked_sql(85, "r.component_id, d.doc_id = r.component_id AS kept"))
 def op10_near_dup(spark, sf_dir):
     """Components of documents whose sets of 3-word shingles have a Jaccard similarity of 0.85 or more."""
     return near_dup.near_duplicates(documents(spark, sf_dir), shingle=3, similarity=0.85)
@@ -433,3 +436,12 @@ def op12_periodic_runs(spark, sf_dir):
         _sha256(F.array_join(F.transform("runs", line), "")).alias("runs_sha256"),
         _sha256(F.col("collapsed")).alias("collapsed_sha256"),
     )
+
+
+# --- op13: n-gram Jaccard join ------------------------------------------------------------
+
+
+@register("op13_jaccard_join", _linked_sql(90, "r.component_id"))
+def op13_jaccard_join(spark, sf_dir):
+    """Components of documents whose sets of 3-word shingles have a Jaccard similarity of 0.9 or more."""
+    return signature_join.jaccard_components(documents(spark, sf_dir), shingle=3, similarity=0.9)
