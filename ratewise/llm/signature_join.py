@@ -3,12 +3,13 @@
 1. Each text becomes its set of distinct word shingles, as 64-bit hashes, with
    an identity of 128 bits. Documents with one set form a class; its first
    document, by doc_id and a hash of the text, stands for it.
-2. Linked sets of a and b shingles differ in at most (a + b)(1 - s) / (1 + s) of
-   them. The hash range is cut into one part more than that; so one part at least
-   holds the same shingles in both sets. Cuts follow the band of sizes of the
-   smaller set, and a set that can have a partner in the band below is cut that
-   way too. Classes that share the hash of a part are tied to the smallest of
-   them; components of ties are groups of candidates. No linked pair is missed.
+2. Linked sets of a and b shingles differ in at most d = (a + b)(1 - s) / (1 + s)
+   of them. The hash range is cut into d + m parts, so m parts at least hold the same
+   shingles in both sets; each set leaves out its m - 1 smallest parts, and one equal
+   part remains in both. Cuts follow the band of sizes of the smaller set, and a set
+   that can have a partner in the band below is cut that way too. Classes that share
+   the hash of a part are tied to the smallest of them; components of ties are groups
+   of candidates. No linked pair is missed.
 3. The sets of a group are leaves of a signature tree: a leaf has a bitmap of its
    shingles that others of the task hold too, an inner node the OR of its
    children with the range of their sizes. A dual traversal from (root, root)
@@ -45,8 +46,12 @@ FANOUT = 8
 #: Bits of a leaf at most, and bytes of all leaves of a tree.
 MOST_BITS, TREE_BYTES = 1 << 14, 64 << 20
 BLOCK_SHINGLES = 500_000
+#: Rows of some 40 bytes that may be broadcast.
+BROADCAST_ROWS = 250_000
 #: Largest to smallest size in a band, in steps of the threshold.
 BAND_STEPS = 4
+#: One more part, to be left out, for so many differences.
+SPARE_PARTS = 2
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -78,27 +83,35 @@ def band(size: int, percent: int) -> tuple[int, int]:
         low = high + 1
 
 
-def n_parts(high: int, percent: int) -> int:
-    """One more than linked sets may differ in, if the smaller has at most ``high`` members."""
-    return 1 + (high + 100 * high // percent) * (100 - percent) // (100 + percent)
+@functools.cache
+def most_different(high: int, percent: int) -> int:
+    """How many members linked sets may differ in, if the smaller has at most ``high``."""
+    return (high + 100 * high // percent) * (100 - percent) // (100 + percent)
 
 
 def part_keys(hashes: np.ndarray, percent: int) -> np.ndarray:
-    """Hashes of the parts of a set under the cuts of its band, and of the one below if a partner may lie there."""
+    """Hashes of parts of a set, under the cuts of its band and of the one below if a partner may lie there.
+
+    With d differences and d + m parts, linked sets have m equal parts. Each
+    leaves out its m - 1 parts of fewest members, the first of equals: the largest
+    of the equal parts stays in both. Small parts would tie sets that are not alike.
+    """
     size, found = len(hashes), []
     low, high = band(size, percent)
     cuts = [high]
     if low > 1 and 100 * (low - 1) >= percent * size:
         cuts.append(low - 1)
     for top in cuts:
-        parts = n_parts(top, percent)
-        if parts == 1:  # only equal sets are linked, and these are one class
+        differ = most_different(top, percent)
+        if differ == 0:  # only equal sets are linked, and these are one class
             continue
+        parts = differ + 1 + differ // SPARE_PARTS
         step = (1 << 64) // parts + 1
         bounds = np.arange(1, parts, dtype=np.uint64) * np.uint64(step)
         at = np.concatenate([[0], np.searchsorted(hashes, bounds), [size]])
-        name = (np.arange(parts, dtype=np.uint64) + np.uint64(top << 32)) * _ODD
-        found.append(K.mixed(K.rolling(hashes, at[:-1], at[1:]) + name))
+        kept = np.sort(np.argsort(np.diff(at), kind="stable")[parts - differ - 1 :])
+        name = (kept.astype(np.uint64) + np.uint64(top << 32)) * _ODD
+        found.append(K.mixed(K.rolling(hashes, at[kept], at[kept + 1]) + name))
     return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
@@ -271,8 +284,11 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 _KEY = ("grp", "block", "chunk")
 
 
-def _deal(rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links within each (grp, block, chunk) of rows with rep, label, outside and hashes."""
+def _deal(sets: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links within each (grp, block, chunk) of ``placed``, rows with rep, label and outside.
+
+    Only here the sets themselves move, once if ``placed`` can be broadcast.
+    """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def found(held: dict):
@@ -297,42 +313,49 @@ def _deal(rows: DataFrame, percent: int) -> DataFrame:
         if held:
             yield found(held)
 
-    dealt = rows.select(*_KEY, "rep", "label", "outside", "hashes").repartition(*_KEY).sortWithinPartitions(*_KEY)
+    narrow = ids_for_join(placed.select(*_KEY, "rep", "label", "outside"), BROADCAST_ROWS)
+    rows = sets.join(narrow, "rep").select(*_KEY, "rep", "label", "outside", "hashes")
+    dealt = rows.repartition(*_KEY).sortWithinPartitions(*_KEY)
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def confirmed_links(sets: DataFrame, posts: DataFrame, percent: int, block_shingles: int) -> DataFrame:
-    """(a, b): links that connect what is truly linked in each group of ``sets`` (grp, rep, hashes)."""
-    size = sets.groupBy("grp").agg(F.sum(F.size("hashes")).alias("total"), F.min("rep").alias("pivot"))
-    size = checkpointed(size.withColumn("blocks", F.ceil(F.col("total") / F.lit(block_shingles)).cast("int")))
+def confirmed_links(sets: DataFrame, members: DataFrame, posts: DataFrame, percent: int, block_shingles: int) -> DataFrame:
+    """(a, b): links that connect what is truly linked in each group.
+
+    ``sets`` has (rep, hashes), ``members`` (rep, grp, n_shingles), ``posts`` (rep, part).
+    """
     zero = F.lit(0)
-    fresh = sets.join(size, "grp").withColumns({"label": F.col("rep"), "outside": F.lit(False), "chunk": zero})
-    made = _deal(fresh.where(F.col("blocks") <= 1).withColumn("block", zero), percent)
-    if size.where(F.col("blocks") > 1).limit(1).count() == 0:
-        return made
+    size = members.groupBy("grp").agg(F.sum("n_shingles").alias("total"), F.min("rep").alias("pivot"))
+    blocks = F.ceil(F.col("total") / F.lit(block_shingles)).cast("int").alias("blocks")
+    placed = members.join(size.select("grp", "pivot", blocks), "grp")
+    placed = checkpointed(placed.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")))
 
     # Each block on its own, with the first set of the group, which ties the blocks together.
-    big = fresh.where(F.col("blocks") > 1).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     every = F.explode(F.sequence(zero, F.col("blocks") - 1))
-    guests = big.where(F.col("rep") == F.col("pivot")).withColumn("block", every)
-    inside = checkpointed(_deal(big.unionByName(guests), percent))
+    guests = placed.where((F.col("blocks") > 1) & (F.col("rep") == F.col("pivot"))).withColumn("block", every)
+    alone = placed.unionByName(guests).withColumns({"label": F.col("rep"), "outside": F.lit(False), "chunk": zero})
+    inside = checkpointed(_deal(sets, alone, percent))
+    big = placed.where(F.col("blocks") > 1)
+    if big.limit(1).count() == 0:
+        return inside
 
     # What is not in the largest component of its group meets the blocks that share a part with it.
     known = components(inside).withColumnsRenamed({"node": "rep", "component": "_label"})
-    labelled = big.drop("label").join(known, "rep", "left").withColumn("label", F.coalesce("_label", "rep")).drop("_label")
-    labelled = checkpointed(labelled)
+    labelled = big.join(known, "rep", "left").withColumn("label", F.coalesce("_label", "rep")).drop("_label")
     counts = labelled.groupBy("grp", "label").agg(F.count(F.lit(1)).alias("n"))
     main = counts.groupBy("grp").agg(F.max(F.struct("n", "label"))["label"].alias("main"))
-    outer = labelled.join(main, "grp").where(F.col("label") != F.col("main")).withColumn("outside", F.lit(True))
-    inner_parts = posts.join(labelled.select("rep", "grp", "block"), "rep").select("part", "grp", "block").distinct()
-    outer_parts = posts.join(outer.select("rep", "grp"), "rep").select("rep", "grp", "part")
-    meets = checkpointed(outer_parts.join(inner_parts, ["grp", "part"]).select("rep", F.col("block").alias("host")).distinct())
-    sent = outer.join(meets, "rep").withColumn("block", F.col("host"))
-    chunks = sent.groupBy("grp", "block").agg(F.ceil(F.sum(F.size("hashes")) / F.lit(block_shingles)).cast("int").alias("chunks"))
+    labelled = checkpointed(labelled.join(main, "grp").withColumn("outside", F.col("label") != F.col("main")))
+    posted = posts.join(ids_for_join(labelled.select("rep", "grp", "block", "outside"), BROADCAST_ROWS), "rep")
+    guests = checkpointed(posted.where("outside").select("grp", "part", "rep"))
+    asked = ids_for_join(guests.select("part").distinct())
+    hosts = posted.join(asked, "part").select("grp", "part", "block").distinct()
+    meets = guests.join(hosts, ["grp", "part"]).select("rep", F.col("block").alias("host")).distinct()
+    sent = checkpointed(labelled.where("outside").join(meets, "rep").withColumn("block", F.col("host")).drop("host"))
+    chunks = sent.groupBy("grp", "block").agg(F.ceil(F.sum("n_shingles") / F.lit(block_shingles)).cast("int").alias("chunks"))
     sent = sent.join(chunks, ["grp", "block"]).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
-    hosts = labelled.join(chunks, ["grp", "block"]).withColumn("chunk", F.explode(F.sequence(zero, F.col("chunks") - 1)))
-    names = [*_KEY, "rep", "label", "outside", "hashes"]
-    return made.unionByName(inside).unionByName(_deal(sent.select(names).unionByName(hosts.select(names)), percent))
+    met = labelled.join(chunks, ["grp", "block"]).withColumn("chunk", F.explode(F.sequence(zero, F.col("chunks") - 1)))
+    across = sent.unionByName(met.withColumn("outside", F.lit(False)))
+    return inside.unionByName(_deal(sets, across, percent))
 
 
 def jaccard_components(
@@ -349,18 +372,19 @@ def jaccard_components(
     posts = classes.select("rep", F.explode("parts").alias("part"))
     groups = candidate_groups(posts)
     members = groups.join(classes, groups["node"] == classes["rep"]).select(
-        F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key"), "rep", F.col("component").alias("grp")
+        F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key"), "rep", F.col("component").alias("grp"), "n_shingles"
     )
-    # These rows are some four times as wide as an id.
-    members = ids_for_join(members, 250_000)
+    members = checkpointed(members)
+    named = ids_for_join(members.select("_id", "_key", "rep"), BROADCAST_ROWS)
 
     def sets_of(batch):
         return {"hashes": [K.signed(shingle_set(t, shingle)) for t in K.text_bytes(batch.column("text"))]}
 
     keyed = docs.select(F.col("doc_id").cast("long").alias("_id"), "text", text_key().alias("_key"))
-    texts = keyed.join(members, ["_id", "_key"]).select("rep", "grp", "text")
-    sets = checkpointed(K.map_batches(texts, sets_of, "hashes array<long>", ("rep", "grp")))
-    found = components(confirmed_links(sets, posts, percent, block_shingles))
+    texts = keyed.join(named, ["_id", "_key"]).select("rep", "text")
+    sets = checkpointed(K.map_batches(texts, sets_of, "hashes array<long>", ("rep",)))
+    members = members.select("rep", "grp", "n_shingles")
+    found = components(confirmed_links(sets, members, posts, percent, block_shingles))
     linked = checkpointed(found.join(classes.select("rep", "first"), found["node"] == F.col("rep")).select("rep", "component", "first"))
     heads = linked.groupBy("component").agg(F.min("first.doc_id").alias("head"))
     placed = classes.select("rep", "one", "two", "n_shingles", "first").join(
