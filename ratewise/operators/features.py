@@ -7,6 +7,7 @@ data; the long forms have no such limit.
 
 from __future__ import annotations
 
+import itertools
 import threading
 from collections.abc import Mapping, Sequence
 
@@ -28,11 +29,10 @@ from pyspark.ml.feature import (
     VectorAssembler,
     VectorSlicer,
 )
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseMatrix, DenseVector, Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
-from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
@@ -45,7 +45,10 @@ from ratewise.functions.text import ngram_range, word_tokens
 from ratewise.operators.joins import lookup_join
 from ratewise.operators.lemmas import lemmatize
 from ratewise.operators.ordering import with_position
+from ratewise.operators.randomized_svd import TruncatedFactors, truncated_svd
+from ratewise.operators.selection import chi2_scores, select_k_best
 from ratewise.operators.tfidf import TermSpec, document_frequency
+from ratewise.session import checkpointed
 
 ITEMS = ("content", "product", "author")
 MAX_DRIVER_ENTRIES = 4_000_000
@@ -240,26 +243,44 @@ class OneHotBlock(Estimator):
 _ARPACK = threading.Lock()
 
 
+class SparseProjection(Transformer):
+    """Rows times singular vectors that are a table; rows need a unique ``id``."""
+
+    def __init__(self, factors: TruncatedFactors, inputCol: str, outputCol: str):
+        super().__init__()
+        self.factors, self.input, self.output = factors, inputCol, outputCol
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        projected = self.factors.project(sparse_cells(df, self.input)).withColumnRenamed("z", "_z")
+        zeros = F.array_repeat(F.lit(0.0), self.factors.k)
+        return df.join(projected, "id", "left").withColumn(self.output, array_to_vector(F.coalesce("_z", zeros))).drop("_z")
+
+
 class TruncatedSVD(Estimator):
-    """Rank-k projection X.V without centring, as a native matrix-product stage.
+    """Rank-k projection X.V without centring.
 
-    Singular vectors live on the driver (features x k doubles); k is cut to the
-    number of features.
+    Up to ``driver_cells`` singular vectors (features x k doubles) come from
+    Spark's own decomposition and live on the driver, as a native matrix-product
+    stage. Beyond that they are a table made by random projections, and rows
+    need a unique ``id``. k is cut to the number of features.
     """
 
-    def __init__(self, k: int, inputCol: str = "features", outputCol: str = "reduced"):
+    def __init__(
+        self, k: int, inputCol: str = "features", outputCol: str = "reduced", driver_cells: int = MAX_DRIVER_CELLS
+    ):
         super().__init__()
-        self.k, self.input, self.output = int(k), inputCol, outputCol
+        self.k, self.input, self.output, self.driver_cells = int(k), inputCol, outputCol, driver_cells
 
-    def _fit(self, df: DataFrame) -> PCAModel:
+    def _fit(self, df: DataFrame) -> PCAModel | SparseProjection:
+        first = df.select(self.input).first()
+        if first is not None and first[0].size * min(self.k, first[0].size) > self.driver_cells:
+            return SparseProjection(truncated_svd(sparse_cells(df, self.input), self.k), self.input, self.output)
         # Each Lanczos step is a pass over the rows: keep them on the executors.
         kept = df.select(self.input).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             matrix = RowMatrix(MLUtils.convertVectorColumnsFromML(kept, self.input))
             n = matrix.numCols()
             k = min(self.k, n)
-            if n * k > MAX_DRIVER_CELLS:
-                raise ValueError(f"{n} features x {k} components exceed {MAX_DRIVER_CELLS} driver cells")
             with _ARPACK:
                 svd = matrix.computeSVD(k)
             v = svd.V.toArray()
@@ -277,23 +298,29 @@ class TruncatedSVD(Estimator):
 
 
 class SelectKBest(Estimator):
-    """Keep the k columns with the highest chi-square of summed values."""
+    """Keep the k columns with the highest chi-square of summed values; ties go to the later column.
+
+    Sums per class and column are partial sums of the non-zero cells; the driver
+    gets the numbers of the chosen columns only.
+    """
 
     def __init__(self, k: int, inputCol: str = "features", outputCol: str = "reduced", labelCol: str = "label"):
         super().__init__()
         self.k, self.input, self.output, self.label = int(k), inputCol, outputCol, labelCol
 
     def _fit(self, df: DataFrame) -> VectorSlicer:
-        per_class = df.groupBy(self.label).agg(
-            Summarizer.sum(F.col(self.input)).alias("s"), F.count(F.lit(1)).alias("n")
-        ).collect()  # one row per class
-        observed = np.array([r.s.toArray() for r in per_class])
-        share = np.array([r.n for r in per_class], dtype=float)
-        expected = np.outer(share / share.sum(), observed.sum(axis=0))
-        with np.errstate(divide="ignore", invalid="ignore"):
-            score = np.nan_to_num(((observed - expected) ** 2 / expected), nan=0.0).sum(axis=0)
-        best = np.lexsort((np.arange(score.size), np.round(score, 9)))[::-1][: min(self.k, score.size)]
-        return VectorSlicer(inputCol=self.input, outputCol=self.output, indices=sorted(int(i) for i in best))
+        row = df.select(self.input).first()
+        size = row[0].size if row is not None else 0
+        k = min(self.k, size)
+        if k > MAX_DRIVER_ENTRIES:
+            raise ValueError(f"more than {MAX_DRIVER_ENTRIES} columns to keep: use chi2_scores and select_k_best")
+        cells = sparse_cells(df, self.input, self.label).withColumnRenamed("idx", "term")
+        scored = checkpointed(chi2_scores(cells, df, self.label).where(F.round("chi2", 9) > 0))
+        chosen = {r.term for r in select_k_best(scored, k).select("term").collect()}
+        # Columns without a score, or without a value, tie at zero: the last ones fill up.
+        zeros = (i for i in range(size - 1, -1, -1) if i not in chosen)
+        filled = chosen | set(itertools.islice(zeros, k - len(chosen))) if len(chosen) < k else chosen
+        return VectorSlicer(inputCol=self.input, outputCol=self.output, indices=sorted(filled))
 
 
 class UnitRange(Estimator):

@@ -138,11 +138,18 @@ def fit_frequency(
     return checkpointed(document_frequency(reviews, spec, lemmas))
 
 
+def fit_terms(
+    reviews: DataFrame, spec: TermSpec, lemmas: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Document frequencies within the limits, and the terms above ``max_df``; written once."""
+    counted = checkpointed(_counted(reviews, spec, lemmas))
+    return counted.where(~F.col("_frequent")).drop("_frequent"), counted.where("_frequent").select("term")
+
+
 def tfidf(reviews: DataFrame, spec: TermSpec, lemmas: DataFrame | None = None) -> DataFrame:
     """(id, other columns, term, tf, df, df_ratio, idf, value) of one corpus."""
-    counted = checkpointed(_counted(reviews, spec, lemmas))
-    frequency = counted.where(~F.col("_frequent")).drop("_frequent")
-    return weigh(reviews, spec, frequency, lemmas, counted.where("_frequent").select("term"))
+    frequency, frequent = fit_terms(reviews, spec, lemmas)
+    return weigh(reviews, spec, frequency, lemmas, frequent)
 
 
 # --- reports ------------------------------------------------------------------------

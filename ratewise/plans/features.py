@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +19,11 @@ from ratewise.operators.features import (
     default_spec,
     max_abs,
 )
+from ratewise.operators.randomized_svd import truncated_svd
+from ratewise.operators.sparse_blocks import fit_blocks, stored_vectors
+from ratewise.operators.tfidf import TermSpec
 from ratewise.schema import FEATURES
+from ratewise.session import checkpointed
 
 SVD_COMPONENTS = 1000
 
@@ -80,3 +85,45 @@ def build_features(
         test.withColumn("split", F.lit("test")), allowMissingColumns=True
     )
     return model.transform(both).select(*FEATURES.fieldNames()), model
+
+
+def unit_range(projected: DataFrame, train: DataFrame, k: int) -> DataFrame:
+    """(id, z) with every component scaled to [0, 1] over the rows of ``train``, constant ones to 0.
+
+    One row for each component reaches the driver.
+    """
+    if k == 0:
+        return projected
+    spread = train.select(F.posexplode("z").alias("i", "x")).groupBy("i").agg(F.min("x").alias("low"), F.max("x").alias("high"))
+    ends = {r.i: (r.low, r.high) for r in spread.collect()}
+    low = F.array(*[F.lit(ends[i][0]) for i in range(k)])
+    span = F.array(*[F.lit(ends[i][1] - ends[i][0]) for i in range(k)])
+    part = lambda x, lo: x - lo
+    share = lambda x, width: F.when(width > 0, x / width).otherwise(0.0)
+    return projected.withColumn("z", F.zip_with(F.zip_with("z", low, part), span, share))
+
+
+def build_wide_features(
+    train: DataFrame, test: DataFrame, spec: TermSpec | None = None, svd: bool = True, k: int = SVD_COMPONENTS, **weights: float
+) -> DataFrame:
+    """(id, features, rating, split) as ``build_features`` gives it, for any number of terms, values and components.
+
+    Indexes and singular vectors are tables. ``weights`` are by column: content, product, author.
+    """
+    spec = spec or default_spec()
+    index = fit_blocks(train, spec, weights=weights)
+    both = train.withColumn("split", F.lit("train")).unionByName(
+        test.withColumn("split", F.lit("test")), allowMissingColumns=True
+    )
+    if "rating" not in both.columns:
+        both = both.withColumn("rating", F.lit(None).cast("int"))
+    rows = both.select("id", "rating", "split")
+    if not svd:
+        index = index.scaled(train)
+        return stored_vectors(rows, index.cells(both), index.size).select(*FEATURES.fieldNames())
+    factors = truncated_svd(index.cells(train), k)
+    zeros = F.array_repeat(F.lit(0.0), factors.k)
+    projected = rows.join(factors.project(index.cells(both)), "id", "left").withColumn("z", F.coalesce("z", zeros))
+    projected = checkpointed(projected)
+    scaled = unit_range(projected, projected.where(F.col("split") == "train"), factors.k)
+    return scaled.withColumn("features", array_to_vector("z")).select(*FEATURES.fieldNames())

@@ -1,8 +1,8 @@
 """All registered queries."""
 
-from ratewise.plans import evaluation_queries, explore_queries, model_queries, text_queries, workflow_queries
+from ratewise.plans import evaluation_queries, explore_queries, model_queries, text_queries, wide_queries, workflow_queries
 
-_MODULES = (explore_queries, text_queries, evaluation_queries, model_queries, workflow_queries)
+_MODULES = (explore_queries, text_queries, evaluation_queries, model_queries, workflow_queries, wide_queries)
 
 
 def queries():
