@@ -41,7 +41,7 @@ def dataset_cache(spark, sf_dir):
     path = scratch_path(spark, "dataset")
     reviews = review_text(spark, sf_dir).withColumn("split", F.when(F.col("id") % 3 == 0, "test").otherwise("train"))
     known = [F.col(f.name) if f.name in reviews.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in REVIEW]
-    reviews.select(*known).write.partitionBy("split").parquet(path)
+    S.write_dataset(reviews.select(*known), path)
     return S.load_dataset(spark, path, "train").select("id", "author", "product", "content", "rating", "split")
 
 
@@ -89,6 +89,18 @@ def submission_csv(spark, sf_dir):
     return spark.read.option("header", True).option("quote", "|").option("lineSep", "\r\n").csv(path)
 
 
+@register(
+    "submission_parts",
+    """SELECT 'id,rating' AS line UNION ALL
+    SELECT CAST(doc_id AS VARCHAR) || ',' || CAST(1 + doc_id % 5 AS VARCHAR) || '.250000000000000000' FROM documents""",
+)
+def submission_parts(spark, sf_dir):
+    """Lines of the submission whose parts join to one file."""
+    path = scratch_path(spark, "submission")
+    S.write_submission_parts(review_text(spark, sf_dir).select("id", (F.col("rating") + 0.25).alias("prediction")), path)
+    return spark.read.option("lineSep", "\r\n").text(path).withColumnRenamed("value", "line")
+
+
 @register(
     "report_file",
     f"""WITH {TEXT_SQL}, {LISTS_SQL}, {DETECTED_SQL} SELECT language, CAST(count(*) AS VARCHAR) AS n FROM detected GROUP BY 1""",

@@ -179,3 +179,27 @@ def test_tfidf_is_the_same_without_a_broadcast_vocabulary(spark):
     want = cells(V.tfidf(reviews, spec))
     assert want == cells(V.weigh(reviews, spec, frequency, None, frequent, broadcast_rows=0))
     assert want == cells(V.weigh(reviews, spec, frequency, broadcast_rows=0))
+
+
+def test_an_interrupted_search_repeats_no_trial(spark, reviews, folder, monkeypatch):
+    grid = [U.candidate({"k": k, "c": c}, ("k",), lambda k=k: _kbest(k), U.lr(c, False)) for k in (2, 5) for c in (0.01, 10)]
+    real, ran = U._run_group, []
+
+    def counted(train, validate, group, seed):
+        ran.extend((c.params["k"], c.params["c"], seed) for c in group)
+        return real(train, validate, group, seed)
+
+    monkeypatch.setattr(U, "_run_group", counted)
+    log = folder + "/log"
+    # As left by a search that ended after one seed and a part of the other.
+    U.repeated_holdout(reviews, grid, (1,), log, test_size=0.3, resume=True)
+    U.repeated_holdout(reviews, grid[:1], (2,), log, test_size=0.3)
+    before = {(r.k, r.c, r.seed): r.score_validate for r in spark.read.parquet(log).collect()}
+    assert len(before) == 5
+    ran.clear()
+    trials = U.repeated_holdout(reviews, grid, (1, 2), log, test_size=0.3, resume=True).collect()
+    assert sorted(ran) == [(2, 10, 2), (5, 0.01, 2), (5, 10, 2)]
+    assert len(trials) == 8 == spark.read.parquet(log).count()
+    assert all(r.score_validate == before[r.k, r.c, r.seed] for r in trials if (r.k, r.c, r.seed) in before)
+    ran.clear()
+    assert U.repeated_holdout(reviews, grid, (1, 2), log, test_size=0.3, resume=True).count() == 8 and not ran

@@ -138,6 +138,63 @@ def test_dataset_cache(spark, folder):
     assert S.load_dataset(spark, path, "train").count() == 2
 
 
+def test_a_cut_off_dataset_is_none(spark, folder, monkeypatch):
+    train_dir, test_dir, path = tempfile.mkdtemp(), tempfile.mkdtemp(), folder + "/data"
+    write(train_dir, "f.txt", block())
+    write(test_dir, "1.txt", TEST_TEXT)
+    with pytest.raises(FileNotFoundError):
+        S.load_dataset(spark, path)
+
+    class CutOff(Exception):
+        pass
+
+    def cut(*_):
+        raise CutOff
+
+    # The writer dies with all rows written and nothing published.
+    with monkeypatch.context() as patch:
+        patch.setattr(S, "_publish", cut)
+        with pytest.raises(CutOff):
+            S.create_dataset(spark, train_dir, test_dir, path)
+    assert S.dataset_manifest(spark, path) is None
+    with pytest.raises(FileNotFoundError):
+        S.load_dataset(spark, path)
+    S.create_dataset(spark, train_dir, test_dir, path, overwrite_old=False)  # what is there is not kept: it is no dataset
+    first = S.dataset_manifest(spark, path)
+    assert first["rows"] == {"train": 1, "test": 1} and len(glob.glob(path + "/version-*")) == 1
+
+    # A later writer dies: readers still see the version before.
+    write(train_dir, "g.txt", block())
+    with monkeypatch.context() as patch:
+        patch.setattr(S, "_publish", cut)
+        with pytest.raises(CutOff):
+            S.create_dataset(spark, train_dir, test_dir, path)
+    assert S.dataset_manifest(spark, path) == first and S.load_dataset(spark, path, "train").count() == 1
+    S.create_dataset(spark, train_dir, test_dir, path)
+    assert S.load_dataset(spark, path, "train").count() == 2 and len(glob.glob(path + "/version-*")) == 1
+
+
+def test_other_tables_are_no_dataset(spark, folder):
+    spark.range(3).write.parquet(folder + "/data")
+    assert S.dataset_manifest(spark, folder + "/data") is None
+
+
+def test_submission_parts_join_to_the_file(spark, folder):
+    predictions = spark.createDataFrame([(i, i / 7) for i in range(1, 400)], "id long, prediction double").repartition(9)
+    S.write_submission_parts(predictions, folder + "/parts")
+    S.write_submission(predictions, folder + "/one", single_file=True)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        S.write_submission_parts(predictions, folder + "/many")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    joined = lambda name: b"".join(open(p, "rb").read() for p in sorted(glob.glob(f"{folder}/{name}/part-*")))
+    assert len(glob.glob(folder + "/many/part-*")) > 1
+    assert joined("parts") == joined("many") == joined("one")
+    S.write_submission_parts(predictions.limit(0), folder + "/none")
+    assert joined("none") == b"id,rating\r\n"
+
+
 def test_submission_file(spark, folder):
     predictions = spark.createDataFrame([(2, 2.5), (1, 0.1)], "id long, prediction double")
     S.write_submission(predictions, folder + "/out", single_file=True)
