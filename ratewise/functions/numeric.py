@@ -67,3 +67,9 @@ def seeded_fraction(key: Column, seed: int) -> Column:
     """
     digest = F.md5(F.concat(key.cast("string"), F.lit(f":{seed}")))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
+
+
+def seeded_draw(key: Column, seed: int) -> Column:
+    """60 bits that depend on key and seed only; their order is a seeded order of the keys."""
+    digest = F.md5(F.concat(key.cast("string"), F.lit(f":{seed}")))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from ratewise.functions.numeric import (
     class_of_best,
     mean_absolute_error,
+    seeded_draw,
     seeded_fraction,
     weighted_average,
 )
@@ -29,6 +31,53 @@ def holdout(
     return df.where(draw >= test_size), df.where(draw < test_size)
 
 
+_DRAW_BITS, _LEVEL_BITS = 60, 15
+
+
+def nth_draw(draws: DataFrame, n: int) -> tuple[int, int]:
+    """(value, rest): the n-th smallest of a column ``draw`` of 60-bit numbers, and how many of its equals are among the n.
+
+    Each level counts the numbers by their next 15 bits, within the cell that
+    holds the n-th: partial sums in every task, at most 32,768 counts on the driver,
+    no sort and no shuffle of rows. After four levels the cell is one number.
+    """
+    low, shift = 0, _DRAW_BITS
+    while shift > 0:
+        shift -= _LEVEL_BITS
+        inside = (F.col("draw") >= F.lit(low)) & (F.col("draw") < F.lit(low + (1 << (shift + _LEVEL_BITS))))
+        cell = F.shiftright(F.col("draw") - F.lit(low), shift).alias("cell")
+        counts = draws.where(inside).groupBy(cell).agg(F.count(F.lit(1)).alias("n")).collect()
+        for row in sorted(counts, key=lambda r: r.cell):
+            if n <= row.n:
+                low += row.cell << shift
+                break
+            n -= row.n
+        else:
+            raise ValueError("fewer rows than asked for")
+    return low, n
+
+
+def exact_holdout(
+    df: DataFrame, test_size: float = VALIDATE_PART, seed: int = SEED, key: str = "id"
+) -> tuple[DataFrame, DataFrame]:
+    """(training, validation) with exactly ceil(test_size x rows) rows in the second, for unique keys.
+
+    The rows with the smallest seeded hashes of the key are held out. Only the
+    keys are read to find the largest of these hashes; rows stay where they are, and
+    a recomputed partition is split alike. Keys with one hash are taken in their order.
+    """
+    df = require_key(df, key)
+    draws = df.select(key, seeded_draw(F.col(key), seed).alias("draw"))
+    wanted = math.ceil(test_size * draws.count())
+    if wanted == 0:
+        return df, df.limit(0)
+    value, rest = nth_draw(draws, wanted)
+    last = draws.where(F.col("draw") == F.lit(value)).select(key).orderBy(key).limit(rest).agg(F.max(key)).first()[0]
+    draw = seeded_draw(F.col(key), seed)
+    held = (draw < F.lit(value)) | ((draw == F.lit(value)) & (F.col(key) <= F.lit(last)))
+    return df.where(~held), df.where(held)
+
+
 def stratified_folds(
     df: DataFrame, label: str, n_folds: int = 3, seed: int = SEED, key: str = "id"
 ) -> DataFrame:

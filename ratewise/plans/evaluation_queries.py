@@ -343,3 +343,14 @@ def tfidf_vectors(spark, sf_dir):
     spec = V.TermSpec(1, 2, 0.003, 0.3, english_stop_words())
     vectors = Pipeline(stages=[X.TfidfVectorizer(spec, outputCol="features")]).fit(reviews).transform(reviews)
     return _rounded(X.sparse_cells(vectors, "features"), "value")
+
+
+@register(
+    "exact_holdout",
+    f"""WITH {TEXT_SQL}, drawn AS (SELECT id, rating, row_number() OVER (ORDER BY substr(md5(CAST(id AS VARCHAR) || ':659'), 1, 15), id) AS place FROM reviews)
+    SELECT id, rating, place <= (SELECT ceil(0.05::DOUBLE * count(*)) FROM reviews) AS is_test FROM drawn""",
+)
+def exact_holdout(spark, sf_dir):
+    """Every document, marked if it is one of the 5 per cent, rounded up, that are held out."""
+    train, test = E.exact_holdout(review_text(spark, sf_dir).select("id", "rating"))
+    return train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True)))

@@ -184,3 +184,39 @@ def test_ids(spark):
     assert E.id_contiguity(ok).first().contiguous
     for bad in (spark.range(0, 5), ok.where("id <> 3"), ok.union(spark.range(2, 3))):
         assert not E.id_contiguity(bad).first().contiguous
+
+
+def test_exact_holdout_sizes(spark):
+    import math
+
+    from ratewise.operators import evaluation as E
+
+    for n, size in ((0, 0.05), (1, 0.05), (19, 0.05), (20, 0.05), (21, 0.05), (500, 0.3), (500, 1.0), (500, 0.0)):
+        rows = spark.range(n).withColumnRenamed("id", "key")
+        train, test = E.exact_holdout(rows, size, seed=4, key="key")
+        held = {r.key for r in test.collect()}
+        assert len(held) == math.ceil(size * n)
+        assert {r.key for r in train.collect()} == set(range(n)) - held
+    again = {r.id for r in E.exact_holdout(spark.range(300).repartition(7), 0.3)[1].collect()}
+    assert again == {r.id for r in E.exact_holdout(spark.range(300), 0.3)[1].collect()}
+    assert again != {r.id for r in E.exact_holdout(spark.range(300), 0.3, seed=5)[1].collect()}
+
+
+def test_nth_draw_among_equals(spark):
+    from ratewise.operators.evaluation import nth_draw
+
+    values = [0, 5, 5, 5, 9, (1 << 60) - 1, 1 << 45, (1 << 45) + 1]
+    draws = spark.createDataFrame([(v,) for v in values], "draw long")
+    for n in range(1, 9):
+        value, rest = nth_draw(draws, n)
+        assert value == sorted(values)[n - 1] and rest == n - sum(v < value for v in values)
+
+
+def test_holdout_of_clashing_hashes(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from ratewise.operators import evaluation as E
+
+    monkeypatch.setattr(E, "seeded_draw", lambda key, seed: (key % 3).cast("bigint"))
+    held = {r.id for r in E.exact_holdout(spark.range(30), 0.5)[1].select(F.col("id")).collect()}
+    assert held == {i for i in range(30) if i % 3 == 0} | {1, 4, 7, 10, 13}
