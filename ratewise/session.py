@@ -41,17 +41,26 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new place in the shared folder; the file system removes it when the application ends."""
     folder = f"{shared_dir(spark).rstrip('/')}/ratewise-{uuid.uuid4().hex}"
+    _remove_at_end(spark, folder)
+    return f"{folder}/{name}"
+
+
+def _remove_at_end(spark: SparkSession, folder: str) -> None:
+    """Have the file system remove a folder of this application when it ends."""
     context = spark.sparkContext
     path = context._jvm.org.apache.hadoop.fs.Path(folder)
     store = path.getFileSystem(context._jsc.hadoopConfiguration())
     store.mkdirs(path)
     store.deleteOnExit(path)
-    return f"{folder}/{name}"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and cut its lineage there."""
+    """Write ``df`` once to the shared folder and cut its lineage there.
+
+    Spark makes a folder of the application's own for it, which goes when the application ends.
+    """
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    _remove_at_end(spark, spark.sparkContext.getCheckpointDir())
     return df.checkpoint(eager=True)
