@@ -52,7 +52,7 @@ def test_runs_equal_brute_force(min_words, min_repeats):
 def test_binary_and_sturmian_words():
     a, b = b"a", b"b"
     fibonacci, before = [a, b], [a]
-    while len(fibonacci) < 700:
+    while len(fibonacci) < 300:
         fibonacci, before = fibonacci + before, fibonacci
     for words in (fibonacci, [a] * 100, [a] * 23, [a, b] * 12, [a, b] * 11 + [a], ([a] * 30 + [b]) * 5, []):
         assert find_runs(numbered(words), 10) == brute(words, 10)
