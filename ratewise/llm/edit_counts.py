@@ -37,7 +37,10 @@ _TREE = "leaf_chars array<int>, leaf_tokens array<int>"
 
 @functools.cache
 def _encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+    encoder = WordEncoder(path)
+    if not encoder.by_word:
+        raise ValueError(f"{path} joins characters across white space; counts of its parts don't add up")
+    return encoder
 
 
 class SegmentTree:

@@ -14,13 +14,17 @@ rows; only doc_id and text are stored.
 
 from __future__ import annotations
 
+import codecs
 import functools
+import json
+import string
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,73 +34,151 @@ from ratewise.llm.sizes import ids_for_join
 
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 128 << 10
-#: Words whose ids a task remembers; the memory starts afresh when it is full.
-MEMO_WORDS = 600_000
-
-_TAIL = b".,;:!?"
-# Characters that byte-level BPE puts for bytes outside its printable ones.
-_SHIFTED = {b: 0x100 + i for i, b in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD])}
+#: Words whose ids a task remembers take about this much memory in each of two generations.
+MEMO_BYTES = 96 << 20
+#: Longer words are encoded anew each time.
+MEMO_LONGEST = 256
+#: Texts are encoded in slices of about this many bytes, a longer text by itself.
+SLICE_BYTES = 16 << 20
+
+_PUNCTUATION = string.punctuation.encode()
+_ENTRY_BYTES = 200  # of a word in a dict, beside its bytes and those of its ids
+# Byte-level BPE puts characters from U+0100 on for bytes outside its printable ones.
+_HIDDEN = [*range(0x21), *range(0x7F, 0xA1), 0xAD]
+_SHIFTED = "".join(chr(0x100 + _HIDDEN.index(b) if b in _HIDDEN else b) for b in range(256))
+# What a tokenizer does before its model, if words may be given to the model one by one.
+_NORMALIZER = [("NFC", None), ("Replace", r"\s+"), ("Lowercase", None)]
+_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+def encodes_by_word(tokenizer) -> bool:
+    """Whether a tokenizer lower-cases, drops white space, and cuts words at the pieces that ``WordEncoder`` knows."""
+    spec = json.loads(tokenizer.to_str())
+    steps = (spec.get("normalizer") or {}).get("normalizers", [])
+    cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    return (
+        [(s["type"], s.get("pattern", {}).get("Regex")) for s in steps] == _NORMALIZER
+        and steps[1]["content"] == " "
+        and [c["type"] for c in cuts] == ["Split", "ByteLevel"]
+        and (cuts[0]["pattern"].get("Regex"), cuts[0]["behavior"], cuts[0]["invert"]) == (_PIECES, "Removed", True)
+        and not (cuts[1]["add_prefix_space"] or cuts[1]["use_regex"])
+        and spec["model"]["type"] == "BPE"
+        and not (spec.get("truncation") or spec.get("padding"))
+    )
+
+
+def _values(strings: pa.Array) -> list[bytes]:
+    """UTF-8 bytes of each string of an array without nulls."""
+    _, offsets, data = strings.buffers()
+    at = np.frombuffer(offsets, np.int32)[strings.offset : strings.offset + len(strings) + 1].tolist() if len(strings) else [0]
+    raw = data.to_pybytes() if data else b""
+    return [raw[a:b] for a, b in zip(at, at[1:])]
+
+
 class WordEncoder:
-    """Ids of a text, word by word, equal to those of the tokenizer's own ``encode``.
+    """Ids of texts, equal to those of the tokenizer's own ``encode``.
 
-    For a tokenizer that never joins characters across white space and drops
-    it. Words of Latin letters go to the tokenizer's model directly, all others
-    through its full pipeline; what came out is remembered.
+    With a tokenizer that ``encodes_by_word``, each distinct word of a slice of
+    texts is encoded once: words of Latin letters and the punctuation behind
+    them go to the tokenizer's model directly, all others through its full
+    pipeline, and what came out is remembered. Any other tokenizer gets whole
+    texts.
     """
 
-    def __init__(self, path: str, memo_words: int = MEMO_WORDS):
+    def __init__(self, path: str, memo_bytes: int = MEMO_BYTES):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.memo: dict[bytes, bytes] = {}
-        self.memo_words = memo_words
+        self.by_word = encodes_by_word(self.tokenizer)
+        self.memo_bytes = memo_bytes
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.used = 0
 
     def _full(self, word: bytes) -> bytes:
         return _packed(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids)
 
+    def _letters(self, piece: bytes) -> bytes:
+        text = piece.decode("ascii") if piece.isascii() else codecs.charmap_decode(piece, "strict", _SHIFTED)[0]
+        return _packed([t.id for t in self.model.tokenize(text)])
+
+    def _remembered(self, key: bytes, make) -> bytes:
+        ids = self.young.get(key)
+        if ids is None:
+            ids = self.old.get(key)
+            if ids is None:
+                ids = make(key)
+                if len(key) > MEMO_LONGEST:
+                    return ids
+            self.young[key] = ids
+            self.used += len(key) + len(ids) + _ENTRY_BYTES
+            if self.used > self.memo_bytes:
+                self.old, self.young, self.used = self.young, {}, 0
+        return ids
+
     def _word(self, word: bytes) -> bytes:
-        core = word.rstrip(_TAIL)
+        core = word.rstrip(_PUNCTUATION)
         if core.isascii():
             if not core.isalpha():
                 return self._full(word)
             key = core.lower()
-            piece = key.decode("ascii")
         else:
             text = core.decode("utf-8", "replace")
             lower = text.lower()
             if not (lower.isalpha() and max(lower) < "ɐ" and max(text) < "ɐ"):
                 return self._full(word)
             key = lower.encode("utf-8")
-            piece = key.decode("latin-1").translate(_SHIFTED)
-        ids = self.memo.get(key)
-        if ids is None:
-            ids = self.memo[key] = _packed([t.id for t in self.model.tokenize(piece)])
+        if key == word:
+            return self._letters(key)
+        ids = self._remembered(key, self._letters)
         return ids + self._remembered(word[len(core) :], self._full) if len(core) < len(word) else ids
 
-    def _remembered(self, word: bytes, make) -> bytes:
-        ids = self.memo.get(word)
-        if ids is None:
-            ids = self.memo[word] = make(word)
-        return ids
-
-    def encode(self, text: bytes | None) -> bytes:
-        """Little-endian unsigned 32-bit ids of the whole text."""
-        words = (text or b"").split()
-        found = list(map(self.memo.get, words))
-        if None in found:
-            if len(self.memo) > self.memo_words:
-                self.memo.clear()
-            for i, ids in enumerate(found):
-                if ids is None:
-                    found[i] = self._remembered(words[i], self._word)
-        return b"".join(found)
+    def words(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of each word; words hold no white space."""
+        found = list(map(self.young.get, words))
+        for i, ids in enumerate(found):
+            if ids is None:
+                found[i] = self._remembered(words[i], self._word)
+        return found
+
+    def encode(self, text: bytes) -> bytes:
+        """Little-endian unsigned 32-bit ids of one text."""
+        return b"".join(self.words(text.split())) if self.by_word else self._full(text)
+
+    def encode_all(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each followed by the id ``end``, and the number of ids of each."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        if self.by_word:
+            lists = pc.ascii_split_whitespace(texts)
+            ends, words = np.cumsum(pc.list_value_length(lists).to_numpy()), lists.flatten().dictionary_encode()
+            made = self.words(_values(words.dictionary))
+            at = words.indices.to_numpy()
+        else:
+            made = [self._full(t) for t in _values(texts)]
+            at = np.arange(len(made), dtype=np.int32)
+            ends = at + 1
+        at = np.insert(at, ends, len(made))  # the end id is one more word
+        made.append(_packed([end]))
+        size = np.fromiter(map(len, made), np.int64, len(made)) // 4
+        offsets = pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int64())
+        taken = pa.LargeListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(made), "<i4"))).take(pa.array(at))
+        written = np.concatenate([[0], np.cumsum(size[at])])[ends + np.arange(1, len(ends) + 1)]
+        return taken.flatten().to_numpy(), np.diff(written, prepend=0)
+
+
+def _slices(column: pa.Array) -> Iterator[tuple[int, int]]:
+    """(start, rows) of slices of about SLICE_BYTES."""
+    size = pc.fill_null(pc.binary_length(column), 0).to_numpy().astype(np.int64)
+    part, start = (np.cumsum(size) - size) // SLICE_BYTES, 0
+    for end in [*(np.flatnonzero(np.diff(part)) + 1).tolist(), len(size)]:
+        if end > start:
+            yield start, end - start
+        start = end
 
 
 @functools.cache
@@ -114,19 +196,17 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
 
     schema = _parse_datatype_string(_STORED)
     arrow = to_arrow_schema(schema)
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, start = _encoder(tokenizer), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                piece = batch.slice(at, 512)
-                ids = [encoder.encode(t) + end for t in K.text_bytes(piece.column("text"))]
-                sizes = np.array([len(x) // 4 for x in ids], np.int64)
+            for at, rows in _slices(batch.column("text")):
+                piece = batch.slice(at, rows)
+                ids, sizes = encoder.encode_all(piece.column("text"), end_id)
                 offsets = np.concatenate([[0], np.cumsum(sizes)])
-                tokens = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+                tokens = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
                 columns = [
-                    piece.column("doc_id"), tokens, pa.array(sizes), pa.array(np.full(len(ids), part, np.int32)), pa.array(start + offsets[:-1])
+                    piece.column("doc_id"), tokens, pa.array(sizes), pa.array(np.full(rows, part, np.int32)), pa.array(start + offsets[:-1])
                 ]
                 start += int(offsets[-1])
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)

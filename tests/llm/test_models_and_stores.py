@@ -171,6 +171,30 @@ def test_one_text_above_a_shard_is_parted(spark):
     assert len(counts) == 8 and max(counts) - min(counts) < 40
 
 
+def test_texts_are_encoded_as_by_the_library(monkeypatch):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    rng = random.Random(11)
+    parts = ["The", "vida.###", "cat's", "a'S", "x.'", "wow!!!", "É.", "h\u0331", "H\u0331", "<\u0338", "x<|endoftext|>.", "<|ENDOFTEXT|>", "_", "a_", "12", "K", "ſt", "日本", "Σας,", "'", "ñandú***", "\x1c"]
+    texts = [rng.choice(["", " ", "\n"]) + rng.choice([" ", "\t", "", "  "]).join(rng.choices(parts, k=rng.randrange(12))) for _ in range(400)]
+    texts += [None, "", " ", "z" * 3000, "long " * 20_000]
+    monkeypatch.setattr(token_store, "SLICE_BYTES", 500)
+    for name, by_word in (("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)):
+        full = Tokenizer.from_file(public_tokenizers.path(name))
+        encoder = token_store.WordEncoder(public_tokenizers.path(name), memo_bytes=3000)
+        assert encoder.by_word == by_word
+        column, got = pa.array(["before", *texts]).slice(1), []
+        for start, rows in token_store._slices(column):
+            ids, sizes = encoder.encode_all(column.slice(start, rows), 1)
+            assert len(sizes) == rows and encoder.used <= 3000
+            got += [p.tolist() for p in np.split(ids, np.cumsum(sizes)[:-1])]
+        assert got == [full.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+        assert "z" * 3000 not in {w.decode("utf-8") for w in [*encoder.young, *encoder.old]}
+        assert not len(list(token_store._slices(column.slice(0, 0))))
+        assert [len(x) for x in encoder.encode_all(column.slice(0, 0), 1)] == [0, 0]
+
+
 def test_token_files_round_trip(spark, folder):
     from tokenizers import Tokenizer
 
