@@ -35,11 +35,11 @@ from ratewise.llm.sizes import ids_for_join
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 128 << 10
 #: Words whose ids a task remembers take about this much memory in each of two generations.
-MEMO_BYTES = 96 << 20
+MEMO_BYTES = 40 << 20
 #: Longer words are encoded anew each time.
 MEMO_LONGEST = 256
 #: Texts are encoded in slices of about this many bytes, a longer text by itself.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
 
 _PUNCTUATION = string.punctuation.encode()
 _ENTRY_BYTES = 200  # of a word in a dict, beside its bytes and those of its ids
