@@ -223,18 +223,10 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return result
 
 
-def rank_curves(
-    reviews: DataFrame,
-    stop_words: Sequence[str],
-    lengths: Sequence[int] = (1, 2, 3, 4),
-    k: int = 1000,
-    lemmas: DataFrame | None = None,
+def tagged_grams(
+    reviews: DataFrame, stop_words: Sequence[str], lengths: Sequence[int], lemmas: DataFrame | None = None
 ) -> DataFrame:
-    """The ``k`` highest document-frequency ratios per n, with and without stop words.
-
-    All variants share one pass: a text emits its distinct grams tagged by
-    variant, and the top-k filter runs in each task before rows are gathered.
-    """
+    """(n, stop_words_removed, term): the distinct grams of each text, for each n, with and without stop words."""
     everything = tokenize(reviews, (), lemmas).select("tokens")
     both = everything.withColumn("_kept", without(F.col("tokens"), stop_words))
     grams = F.array(
@@ -248,10 +240,27 @@ def rank_curves(
             for source, removed in (("_kept", True), ("tokens", False))
         ]
     )
-    frequency = (
+    return (
         both.select(F.inline_outer(grams))
         .select("n", "stop_words_removed", F.explode_outer("grams").alias("term"))
         .where(F.col("term").isNotNull())
+    )
+
+
+def rank_curves(
+    reviews: DataFrame,
+    stop_words: Sequence[str],
+    lengths: Sequence[int] = (1, 2, 3, 4),
+    k: int = 1000,
+    lemmas: DataFrame | None = None,
+) -> DataFrame:
+    """The ``k`` highest document-frequency ratios per n, with and without stop words.
+
+    All variants share one pass: a text emits its distinct grams tagged by
+    variant, and the top-k filter runs in each task before rows are gathered.
+    """
+    frequency = (
+        tagged_grams(reviews, stop_words, lengths, lemmas)
         .groupBy("n", "stop_words_removed", "term")
         .agg(F.count(F.lit(1)).alias("df"))
     )

@@ -10,6 +10,7 @@ from ratewise.functions.text import ngrams, without, word_tokens, wordpunct_toke
 from ratewise.operators import language as L
 from ratewise.operators import tfidf as V
 from ratewise.operators.evaluation import holdout
+from ratewise.operators.frequent_terms import frequent_terms
 from ratewise.operators.lemmas import NOUN_ENDINGS, build_lemmas
 from ratewise.plans.explore_queries import SPLIT_SQL, TEXT_SQL, _rounded
 from ratewise.plans.registration import registrar
@@ -281,6 +282,20 @@ def ngram_rank_curve(spark, sf_dir):
     return _rounded(curves, "df_ratio")
 
 
+_FREQUENT_SQL = " UNION ALL ".join(
+    f"""(SELECT {n} AS n, {stop} AS stop_words_removed, row_number() OVER (ORDER BY df DESC, term) AS rank, term, df
+      FROM c{n}{int(stop)} ORDER BY df DESC, term LIMIT 200)"""
+    for n in (1, 2, 3, 4)
+    for stop in (True, False)
+)
+
+
+@register("frequent_ngrams", f"WITH {TEXT_SQL}, {_CURVE_SQL} SELECT * FROM ({_FREQUENT_SQL})")
+def frequent_ngrams(spark, sf_dir):
+    """The 200 n-grams in most texts for each n, with and without stop words; rare ones are not shuffled."""
+    return frequent_terms(review_text(spark, sf_dir), english_stop_words(), k=200)
+
+
 @register(
     "unseen_terms_dropped",
     f"""WITH {TEXT_SQL}, {SPLIT_SQL}, w AS (SELECT id, is_test, unnest({_TOKENS}) AS term FROM split),
