@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
+from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,13 +13,14 @@ from ratewise.operators import evaluation as E
 from ratewise.operators.evaluation import holdout
 from ratewise.plans import features as P
 from ratewise.plans import models as M
+from ratewise.plans import network as N
 from ratewise.plans import tuning as U
 from ratewise.plans.registration import registrar
 from ratewise.plans.text_queries import TEXT_SQL, cells_sql
 from ratewise.session import checkpointed, scratch_path
 from ratewise.sources import reviews as R
 from ratewise.sources import tables as S
-from ratewise.sources.bindings import review_text
+from ratewise.sources.bindings import review_text, table
 
 QUERIES, ORACLE, register = registrar()
 
@@ -162,6 +164,20 @@ def logistic_regression(spark, sf_dir):
     return _predict(M.logistic_regression(1.0, train.count()).fit(train), validate)
 
 
+@register("one_vs_rest")
+def one_vs_rest(spark, sf_dir):
+    """Language of every document from its content, by one binary regression per language, with the normalised probabilities."""
+    docs = table(spark, sf_dir, "documents").where(F.col("lang").isNotNull())
+    rows = docs.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("content"), "lang")
+    indexed = StringIndexer(inputCol="lang", outputCol="label", stringOrderType="alphabetAsc").fit(rows)
+    train, validate = holdout(indexed.transform(rows), 0.2)
+    content = Pipeline(stages=P.content_stages(1, min_df=0.01, outputCol="features")).fit(train)
+    train, validate = (checkpointed(content.transform(df).select("id", "label", "features")) for df in (train, validate))
+    model = M.one_vs_rest(train, 1.0, len(indexed.labels))
+    scored = M.class_probabilities(model, validate, "p")
+    return scored.select("id", "label", F.transform("p", lambda v: F.round(v, 6)).alias("probabilities"))
+
+
 @register("random_forest")
 def random_forest(spark, sf_dir):
     train, validate = _content_split(spark, sf_dir, 10)
@@ -181,6 +197,13 @@ def mlp_learning_curve(spark, sf_dir):
     return spark.createDataFrame(curve.history, M.CURVE_SCHEMA)
 
 
+@register("network_grid")
+def network_grid(spark, sf_dir):
+    """All 30 points of penalty and hidden width, in three folds; 90 tanh networks learn in one pass over the batches."""
+    train, _ = _content_split(spark, sf_dir, 10)
+    return N.network_search(train, n_classes=_CLASSES, n_batches=5)
+
+
 @register("grid_search")
 def grid_search(spark, sf_dir):
     """Each fold fits its own features."""

@@ -13,7 +13,7 @@ from pyspark.ml.classification import (
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +51,51 @@ def logistic_regression(c: float, n_rows: int, l1: bool = False, max_iter: int =
     )
 
 
+@dataclass
+class OneVsRest:
+    """A binary regression for each class; the class probabilities are their probabilities, normalised.
+
+    Spark's own one-vs-rest gives a class only. ``transform`` adds ``probability``
+    and ``prediction`` as the other classifiers do, so it takes part in votes and
+    scores. Ties go to the first class; where every binary model gives 0, all
+    classes get equal shares. A class without training rows gets 0 elsewhere.
+    """
+
+    models: list[Model]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        scored = df
+        for i, model in enumerate(self.models):
+            named = model.copy().setProbabilityCol(f"_p{i}").setRawPredictionCol("").setPredictionCol("")
+            scored = named.transform(scored).withColumn(f"_p{i}", F.get(vector_to_array(f"_p{i}"), F.lit(1)))
+        own = [F.col(f"_p{i}") for i in range(len(self.models))]
+        total = sum(own[1:], own[0])
+        shares = F.array(*[F.when(total > 0, p / total).otherwise(F.lit(1.0 / len(own))) for p in own])
+        return (
+            scored.withColumn("_shares", shares)
+            .withColumn("probability", array_to_vector("_shares"))
+            .withColumn("prediction", (class_of_best(F.col("_shares")) - 1).cast("double"))
+            .drop("_shares", *[f"_p{i}" for i in range(len(own))])
+        )
+
+
+def one_vs_rest(
+    train: DataFrame, c: float, n_classes: int = N_CLASSES, l1: bool = False, max_iter: int = 100
+) -> OneVsRest:
+    """Binary regressions of each class against the others; ``c`` as in :func:`logistic_regression`.
+
+    The features are kept in the executors while the classes are fitted one after another.
+    """
+    rows = train.select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        learner = logistic_regression(c, rows.count(), l1, max_iter).setFamily("binomial").setLabelCol("_is_class")
+        return OneVsRest(
+            [learner.fit(rows.withColumn("_is_class", (F.col("label") == k).cast("double"))) for k in range(n_classes)]
+        )
+    finally:
+        rows.unpersist()
+
+
 def random_forest(max_depth: float, n_trees: int = 10, seed: int = 42) -> RandomForestClassifier:
     return RandomForestClassifier(numTrees=n_trees, maxDepth=int(min(max_depth, MAX_DEPTH)), impurity="gini", seed=seed)
 
@@ -99,8 +144,10 @@ def batch_table(df: DataFrame, batch_size: int | None = None, n_batches: int | N
     """Rows written by batch, so that a step reads its own batch only; (path, batches)."""
     path = scratch_path(df.sparkSession, "batches")
     # The rows are already sorted by batch, so a task touches a batch or two.
-    numbered_batches(df, batch_size, n_batches).write.partitionBy("batch_no").parquet(path)
-    stored = df.sparkSession.read.parquet(path)
+    numbered = numbered_batches(df, batch_size, n_batches)
+    numbered.write.partitionBy("batch_no").parquet(path)
+    # Without a batch there is no file to take the schema from.
+    stored = df.sparkSession.read.schema(numbered.schema).parquet(path)
     last = stored.agg(F.max("batch_no").alias("m")).first().m
     return path, 0 if last is None else int(last) + 1
 
