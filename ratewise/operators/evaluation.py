@@ -78,19 +78,89 @@ def exact_holdout(
     return df.where(~held), df.where(held)
 
 
+_CUT_BITS = 10
+MOST_CUTS = 1_000
+
+
+def draw_cuts(draws: DataFrame, wanted: dict[object, list[int]]) -> dict[object, list[int]]:
+    """For each group and each number n wanted of it, the n-th smallest draw of the group.
+
+    ``draws`` has ``group`` and ``draw`` (60 bits). All cuts are narrowed down
+    together, 10 bits a level: a level counts the draws of the cells that still hold
+    a cut, by partial sums in the tasks, and brings at most 1,024 counts a cut
+    to the driver. A cut that falls on the end of a cell is done, so the number of levels
+    grows with the logarithm of the rows. No row is sorted or moved.
+    """
+    spark, shift = draws.sparkSession, _DRAW_BITS
+    found: dict[tuple, int] = {}
+    kind = draws.schema["group"].dataType.simpleString()
+    open_cuts = {(g, 0): [(i, n) for i, n in enumerate(ranks)] for g, ranks in wanted.items() if ranks}
+    while open_cuts:
+        prefix = F.shiftright("draw", shift) if shift < _DRAW_BITS else F.lit(0).cast("bigint")
+        active = spark.createDataFrame(list(open_cuts), f"group {kind}, prefix long")
+        shift -= _CUT_BITS
+        cell = F.shiftright("draw", shift).bitwiseAND(F.lit((1 << _CUT_BITS) - 1))
+        inside = draws.withColumn("prefix", prefix).join(F.broadcast(active), ["group", "prefix"])
+        counts: dict[tuple, list] = {}
+        for r in inside.groupBy("group", "prefix", cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect():
+            counts.setdefault((r.group, r.prefix), []).append((r.cell, r.n))
+        narrower: dict[tuple, list] = {}
+        for key, cuts in open_cuts.items():
+            for cut, rest in cuts:
+                for number, n in sorted(counts.get(key, [])):
+                    if rest <= n:
+                        place = (key[1] << _CUT_BITS) + number
+                        if rest == n or shift == 0:
+                            found[key[0], cut] = ((place + 1) << shift) - 1
+                        else:
+                            narrower.setdefault((key[0], place), []).append((cut, rest))
+                        break
+                    rest -= n
+                else:
+                    raise ValueError("fewer rows than asked for")
+        open_cuts = narrower
+    return {g: [found[g, i] for i in range(len(ranks))] for g, ranks in wanted.items()}
+
+
+def _beyond(draw: Column, cuts: Sequence[int]) -> Column:
+    """How many of the cuts lie below the draw."""
+    return sum(((draw > F.lit(c)).cast("int") for c in cuts), F.lit(0))
+
+
 def stratified_folds(
     df: DataFrame, label: str, n_folds: int = 3, seed: int = SEED, key: str = "id"
 ) -> DataFrame:
-    """Add ``fold``: classes are dealt evenly over the folds in a seeded order.
+    """Add ``fold``: each class is cut into folds whose sizes differ by one at most, in a seeded order of the keys.
 
-    Rows are numbered globally in (class, hash) order, so a class that holds a
-    large part of the rows is not gathered in one task.
+    Only keys and labels are read to find the cuts; rows are neither sorted nor
+    moved, and a class may hold any part of them. Rows of one key and class
+    come into one fold. Rows without a label are left out. Beyond ``MOST_CUTS`` cuts
+    (classes x folds) the rows are numbered instead.
     """
-    draw = require_key(df, key).withColumn("_draw", seeded_fraction(F.col(key), seed))
+    df = require_key(df, key).where(F.col(label).isNotNull())
+    draw = seeded_draw(F.col(key), seed)
+    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    few = sizes.limit(MOST_CUTS + 1).collect()
+    if len(few) * (n_folds - 1) > MOST_CUTS:
+        return _numbered_folds(df, label, n_folds, seed, key)
+    wanted = {}
+    for row in few:
+        ends = [-(-(row.n - f) // n_folds) for f in range(n_folds)]
+        wanted[row[label]] = [sum(ends[: f + 1]) for f in range(n_folds - 1)]
+    cuts = draw_cuts(df.select(F.col(label).alias("group"), draw.alias("draw")), wanted)
+    fold = F.lit(0)
+    for value, own in cuts.items():
+        fold = F.when(F.col(label) == F.lit(value), _beyond(F.col("_draw"), own)).otherwise(fold)
+    return df.withColumn("_draw", draw).withColumn("fold", fold.cast("int")).drop("_draw")
+
+
+def _numbered_folds(df: DataFrame, label: str, n_folds: int, seed: int, key: str) -> DataFrame:
+    """Folds by global positions in (class, hash) order, for any number of classes."""
+    draw = df.withColumn("_draw", seeded_fraction(F.col(key), seed))
     placed = with_position(draw, [label, "_draw", key], "_position", start=0)
     first = placed.groupBy(label).agg(F.min("_position").alias("_first"))
     return (
-        placed.join(F.broadcast(first), label)
+        placed.join(first, label)
         .withColumn("fold", ((F.col("_position") - F.col("_first")) % n_folds).cast("int"))
         .drop("_draw", "_position", "_first")
     )
@@ -102,12 +172,23 @@ def numbered_batches(
     """Add ``batch_no`` in a seeded order.
 
     With ``n_batches`` all rows are dealt over that many batches whose sizes
-    differ by one at most. With ``batch_size`` a last batch shorter than the
+    differ by one at most; up to ``MOST_CUTS`` of them are cut by the hash of the
+    key without moving a row. With ``batch_size`` a last batch shorter than the
     rest is dropped, as its step would weigh as much as a full one.
     """
     if (batch_size is None) == (n_batches is None):
         raise ValueError("give batch_size or n_batches")
-    draw = require_key(df, key).withColumn("_draw", seeded_fraction(F.col(key), seed))
+    df = require_key(df, key)
+    if n_batches is not None and n_batches <= MOST_CUTS:
+        draw = seeded_draw(F.col(key), seed)
+        n = df.count()
+        dealt = min(n_batches, max(n, 1))
+        ranks = [-(-b * n // dealt) for b in range(1, dealt)]
+        draws = df.select(F.lit(0).alias("group"), draw.alias("draw"))
+        cuts = draw_cuts(draws, {0: ranks})[0]
+        batch = _beyond(F.col("_draw"), cuts).cast("bigint")
+        return df.withColumn("_draw", draw).withColumn("batch_no", batch).drop("_draw")
+    draw = df.withColumn("_draw", seeded_fraction(F.col(key), seed))
     placed = with_position(draw, ["_draw", key], "_position", start=0)
     n = placed.agg(F.count(F.lit(1)).alias("n")).first().n
     if n_batches is not None:

@@ -143,9 +143,10 @@ class Curve:
 def batch_table(df: DataFrame, batch_size: int | None = None, n_batches: int | None = None) -> tuple[str, int]:
     """Rows written by batch, so that a step reads its own batch only; (path, batches)."""
     path = scratch_path(df.sparkSession, "batches")
-    # The rows are already sorted by batch, so a task touches a batch or two.
     numbered = numbered_batches(df, batch_size, n_batches)
-    numbered.write.partitionBy("batch_no").parquet(path)
+    # Ranges of (batch, hash): a task writes a batch or two, and a batch is spread over tasks.
+    ranged = numbered.repartitionByRange("batch_no", F.xxhash64("id"))
+    ranged.write.partitionBy("batch_no").parquet(path)
     # Without a batch there is no file to take the schema from.
     stored = df.sparkSession.read.schema(numbered.schema).parquet(path)
     last = stored.agg(F.max("batch_no").alias("m")).first().m
