@@ -59,10 +59,40 @@ def test_no_text(spark):
 
 def test_cells(spark):
     tokens = spark.createDataFrame([(1, list("abab")), (2, list("ab")), (3, []), (4, None)], "id long, tokens array<string>")
-    cells = G.gram_cells(tokens, [1, 2], terms=True)
-    found = sorted((r.id, r.term, r.tf) for r in cells.collect())
+    terms = {(r.h1, r.h2): r.term for r in G.gram_cells(tokens, [1, 2], terms=True).collect()}
+    found = sorted((r.id, terms[r.h1, r.h2], r.tf) for r in G.gram_cells(tokens, [1, 2]).collect())
     assert found == [(1, "a", 2), (1, "a b", 2), (1, "b", 2), (1, "b a", 1), (2, "a", 1), (2, "a b", 1), (2, "b", 1)]
-    assert cells.select("h1", "h2", "term").distinct().count() == 4
-    key = cells.where("term = 'a b'").first().h1
+    key = next(k for k, term in terms.items() if term == "a b")[0]
     assert {r.term for r in G.gram_cells(tokens, [1, 2], only=np.array([key]), terms=True).collect()} == {"a b"}
     assert G.gram_cells(tokens, [1, 2], only=np.array([], np.int64)).count() == 0
+
+
+def test_limited_frequencies_equal_all_of_them(spark):
+    """Terms counted under keys are those counted as strings."""
+    reviews = reviews_of(spark, 3)
+    every = V.document_frequency(reviews, V.TermSpec(1, 2, 0.0, 0.5, STOP)).where("df_ratio >= 0.04")
+    some = V.document_frequency(reviews, V.TermSpec(1, 2, 0.04, 0.5, STOP))
+    assert sorted(map(tuple, some.collect())) == sorted(map(tuple, every.collect())) != []
+
+
+def test_only_fitted_terms_are_counted(spark):
+    """A broadcast vocabulary meets the terms before they are counted; the cells are those of the join after it."""
+    reviews = reviews_of(spark, 4)
+    spec = V.TermSpec(1, 2, 0.05, 0.5, STOP)
+    frequency, frequent = V.fit_terms(reviews, spec)
+    columns = ["id", "rating", "term", "tf", "df", F.round("value", 6).alias("value")]
+    one, other = (V.weigh(reviews, spec, frequency, frequent=frequent, broadcast_rows=b).select(*columns) for b in (10**6, 0))
+    assert sorted(map(str, one.collect())) == sorted(map(str, other.collect())) != []
+
+
+def test_lemmas_where_the_tokens_are(spark, monkeypatch):
+    """A small lemma table replaces tokens in place; the result is that of the join, also for ids that come twice."""
+    from ratewise.operators import lemmas as L
+
+    table = spark.createDataFrame([("cats", "cat"), ("b", "a")], "form string, lemma string")
+    rows = [(1, ["cats", "x", "b"]), (2, []), (3, None), (4, ["q", "b"]), (4, ["cats", "a", "z"]), (None, ["b"])]
+    tokens = spark.createDataFrame(rows, "id long, tokens array<string>")
+    small = sorted(map(str, L.lemmatize(tokens, table).collect()))
+    monkeypatch.setattr(L, "fits_broadcast", lambda *_: False)
+    assert small == sorted(map(str, L.lemmatize(tokens, table).collect()))
+    assert "Row(id=1, tokens=['cat', 'x', 'a'])" in small
