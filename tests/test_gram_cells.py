@@ -96,3 +96,18 @@ def test_lemmas_where_the_tokens_are(spark, monkeypatch):
     monkeypatch.setattr(L, "fits_broadcast", lambda *_: False)
     assert small == sorted(map(str, L.lemmatize(tokens, table).collect()))
     assert "Row(id=1, tokens=['cat', 'x', 'a'])" in small
+
+
+@pytest.mark.parametrize("share", [0.01, 0.3, 3.0])
+def test_frequent_counts(spark, share):
+    """The best counts are exact: whether the sample's guess at the bound is too high, fits, or prunes nothing."""
+    rows = [(r.id, (r.content or "").lower().split()) for r in reviews_of(spark, 5, 300).collect()]
+    tokens = spark.createDataFrame(rows, "id long, tokens array<string>").select("tokens").repartition(3)
+    sample = tokens if share > 0.1 else tokens.limit(150)
+    made = G.frequent_counts(tokens, sample, share, (1, 2, 3), STOP, 10)
+    for n in (1, 2, 3):
+        every = G.gram_cells(tokens, [n], STOP).groupBy("h1", "h2").agg(F.sum("n").alias("df"))
+        best = lambda t: [r.df for r in t.orderBy(F.desc("df")).limit(10).collect()]
+        assert best(made[n]) == best(every)
+    if share == 0.3:  # the guess is three times the counts at first
+        assert G.frequent_counts(tokens, sample, 1.0, (1, 2), STOP, 10)[2].count() < every.count()
