@@ -111,3 +111,11 @@ def test_frequent_counts(spark, share):
         assert best(made[n]) == best(every)
     if share == 0.3:  # the guess is three times the counts at first
         assert G.frequent_counts(tokens, sample, 1.0, (1, 2), STOP, 10)[2].count() < every.count()
+
+
+def test_cells_of_a_text_lie_together(spark):
+    """Rows of one text follow each other, also with whole texts among them, so that the shuffle packs them."""
+    reviews = reviews_of(spark, 6).coalesce(1)
+    marked = V.tokenize(reviews).withColumn("h1", F.xxhash64("id", "rating")).withColumn("at", F.monotonically_increasing_id())
+    at = [r["at"] for r in G.gram_cells(marked, [2], STOP, whole=True).select("at").collect()]
+    assert len(at) > 500 and at == sorted(at)
