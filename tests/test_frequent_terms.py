@@ -66,3 +66,16 @@ def test_rare_grams_stay_in_their_tasks(spark):
 def test_empty_and_without_ids(spark):
     assert found(spark, [], 3) == []
     assert found(spark, [(None, "x y"), (None, "x y"), (1, None)], 3) == plain(["x y", "x y", None], (1, 2, 3), 3)
+
+
+def test_no_string_is_counted_before_the_last_pass(spark):
+    """Candidates and cells are numbers; strings are made of the grams of the reached cells only, once for a slice of texts."""
+    texts = texts_of(5, 400)
+    reviews = spark.createDataFrame(list(enumerate(texts)), "id long, content string")
+    stages = {}
+    rows = T.frequent_terms(reviews, STOP, (1, 2, 3), 5, stages=stages).collect()
+    assert sorted(map(tuple, rows)) == plain(texts, (1, 2, 3), 5)
+    assert "string" not in dict(stages["counted"].dtypes).values() and stages["counted"].columns == ["variant", "slot", "df"]
+    # Every candidate has its own count beside its cell's.
+    own = stages["counted"].where("slot < 0")
+    assert own.count() >= 5 * len(stages["bounds"]) == 30
