@@ -6,6 +6,7 @@ Every function takes whole texts. Bytes of non-ASCII characters are all above
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -109,6 +110,25 @@ def text_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library only
+    if trim is not None:
+        trim(0)
+
+
+def giving_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run``, which returns its free memory to the system when a task ends: workers outlive tasks, and those that idle add up."""
+
+    def outer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return outer
+
+
 def map_batches(
     df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str, keep: tuple[str, ...] = (), rows: int = 512
 ) -> DataFrame:
@@ -136,4 +156,4 @@ def map_batches(
                     columns.append(value.cast(field.type) if isinstance(value, pa.Array) else pa.array(value, field.type))
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    return df.mapInArrow(run, full)
+    return df.mapInArrow(giving_back(run), full)

@@ -213,7 +213,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
 
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("_tie", F.xxhash64("text"))
     dealt = keyed.repartitionByRange("doc_id", "_tie").sortWithinPartitions("doc_id", "_tie")
-    return dealt.select("doc_id", "text").mapInArrow(run, schema)
+    return dealt.select("doc_id", "text").mapInArrow(K.giving_back(run), schema)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1) -> None:

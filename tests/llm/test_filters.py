@@ -205,3 +205,17 @@ def test_no_copy_above_the_most_repetitions(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     copies = {r.doc_id: r["count"] for r in mixing.repeated(docs, max_epochs=3.0).groupBy("doc_id").count().collect()}
     assert {copies[i] for i in range(200)} == {3}
+
+
+def test_tasks_give_memory_back(spark, monkeypatch):
+    """When the batches of a task end, also by an error, its worker returns what it holds free."""
+    from ratewise.llm import kernels as K
+
+    given = []
+    monkeypatch.setattr(K, "_give_back", lambda: given.append(1))
+    assert list(K.giving_back(lambda batches: (b + 1 for b in batches))(iter([1, 2]))) == [2, 3] and given == [1]
+    with pytest.raises(ZeroDivisionError):
+        list(K.giving_back(lambda batches: (1 // b for b in batches))(iter([1, 0])))
+    assert given == [1, 1]
+    monkeypatch.undo()
+    K._give_back()
