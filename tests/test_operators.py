@@ -220,3 +220,36 @@ def test_holdout_of_clashing_hashes(spark, monkeypatch):
     monkeypatch.setattr(E, "seeded_draw", lambda key, seed: (key % 3).cast("bigint"))
     held = {r.id for r in E.exact_holdout(spark.range(30), 0.5)[1].select(F.col("id")).collect()}
     assert held == {i for i in range(30) if i % 3 == 0} | {1, 4, 7, 10, 13}
+
+
+def _text_features(spark, rows, **options):
+    from ratewise.plans import features as P
+
+    reviews = spark.createDataFrame(rows, "id long, content string, product string, author string, rating int")
+    stages = P.all_stages(1, max_df=1.0, min_df=0.01, outputCol="raw")
+    return P.build_features(reviews, reviews, stages=stages, **options)[0]
+
+
+def test_null_texts_in_the_feature_build(spark):
+    """A null text has the features of an empty one."""
+    rows = [(i, f"w{i % 7} w{i % 5} x", f"p{i % 2}", f"u{i % 3}", 1 + i % 5) for i in range(40)]
+    made = []
+    for text in (None, ""):
+        more = [*rows, (99, text, "p1", "u1", 3)]
+        assert _text_features(spark, more, svd=True, k=3).count() == 2 * len(more)
+        made.append({(r.id, r.split): r.features.toArray() for r in _text_features(spark, more, svd=False).collect()})
+    assert set(made[0]) == set(made[1]) and all(np.allclose(v, made[1][k]) for k, v in made[0].items())
+
+
+def test_svd_that_does_not_converge(spark, monkeypatch):
+    """Where Spark's iteration gives up, singular vectors come from random projections; other errors are raised."""
+    a = np.random.default_rng(5).normal(size=(90, 50)) * 0.8 ** np.arange(50)
+    df = spark.createDataFrame([(i, Vectors.dense(x)) for i, x in enumerate(a)], ["id", "features"])
+    said = "ARPACK returns non-zero info = 1"
+    monkeypatch.setattr(FT.RowMatrix, "computeSVD", lambda *_: spark._jvm.java.util.Objects.requireNonNull(None, said))
+    found = {r.id: r.reduced.toArray() for r in FT.TruncatedSVD(2).fit(df).transform(df).collect()}
+    _, _, v = np.linalg.svd(a)
+    assert np.allclose(np.abs([found[i] for i in range(90)]), np.abs(a @ v[:2].T), atol=1e-3)
+    said = "other"
+    with pytest.raises(Exception, match="other"):
+        FT.TruncatedSVD(2).fit(df)
