@@ -203,3 +203,28 @@ def test_an_interrupted_search_repeats_no_trial(spark, reviews, folder, monkeypa
     assert all(r.score_validate == before[r.k, r.c, r.seed] for r in trials if (r.k, r.c, r.seed) in before)
     ran.clear()
     assert U.repeated_holdout(reviews, grid, (1, 2), log, test_size=0.3, resume=True).count() == 8 and not ran
+
+
+def test_settings_that_differ_in_weights_share_their_blocks(reviews, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from ratewise.operators import features as X
+
+    rows = reviews.withColumn("product", F.concat(F.lit("p"), F.col("id") % 3)).withColumn("author", F.concat(F.lit("a"), F.col("id") % 5))
+    weights = [(1.0, 1.0, 1.0), (0.5, 0.0, 2.0)]
+
+    def points(some):
+        return [
+            U.candidate({"ct": c, "pd": p, "au": a}, ("ct", "pd", "au"), lambda c=c, p=p, a=a: P.all_stages(1, 1.0, 0.01, c, p, a), U.lr(1.0, False))
+            for c, p, a in some
+        ]
+
+    # A setting whose stages cannot be made fails alone.
+    broken = U.candidate({"ct": 9.0, "pd": 9.0, "au": 9.0}, ("ct", "pd", "au"), lambda: 1 / 0, U.lr(1.0, False))
+    fitted, real = [], X.TfidfVectorizer._fit
+    monkeypatch.setattr(X.TfidfVectorizer, "_fit", lambda self, df: (fitted.append(self.spec), real(self, df))[1])
+    scores = lambda grid: {r.ct: (r.score_training, r.score_validate) for r in U.repeated_holdout(rows, grid, (1,), test_size=0.3).collect()}
+    together = scores([*points(weights), broken])
+    assert len(fitted) == 1
+    assert together == {**scores(points(weights[:1])), **scores(points(weights[1:])), 9.0: (None, None)}
+    assert None not in together[1.0] + together[0.5]
