@@ -45,7 +45,9 @@ class Block:
         """(id, idx, value) within the block, weighed but not scaled, and the scale."""
         if self.spec is not None:
             texts = rows.select("id", F.col(self.column).alias("content")).where(F.col("content").isNotNull())
-            found = V.weigh(texts, self.spec, self.index, frequent=self.frequent)
+            found = V.weigh_indexed(texts, self.spec, self.index)
+            if found is None:
+                found = V.weigh(texts, self.spec, self.index, frequent=self.frequent)
         else:
             facts = rows.select("id", F.col(self.column).alias("value")).where(F.col("value").isNotNull())
             found = lookup_join(facts, self.index, "value", "n").withColumn("value", F.lit(1.0))

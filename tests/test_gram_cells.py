@@ -119,3 +119,29 @@ def test_cells_of_a_text_lie_together(spark):
     marked = V.tokenize(reviews).withColumn("h1", F.xxhash64("id", "rating")).withColumn("at", F.monotonically_increasing_id())
     at = [r["at"] for r in G.gram_cells(marked, [2], STOP, whole=True).select("at").collect()]
     assert len(at) > 500 and at == sorted(at)
+
+
+def test_counts_of_texts_and_cells_from_numeric_keys(spark):
+    from ratewise.operators.sparse_blocks import fit_blocks
+
+    texts = ["a b a c", "b c d", None, "", "a b", "c c c the a", "q"]
+    rows = [(i % 5, t, "p", "u") for i, t in enumerate(texts)]  # two ids come twice
+    reviews = spark.createDataFrame([*rows, (None, "a c", "p", "u"), (None, "b b", "p", "u")], "id long, content string, product string, author string")
+    spec = V.TermSpec(1, 3, 0.05, 0.9, ("the",))
+    counted = {(r.term, r.df) for r in V.document_frequency(reviews.select("content"), spec).collect()}
+    grams = {}
+    for text in [*texts, "a c", "b b"]:
+        words = [w for w in (text or "").split() if w != "the"]
+        for gram in {" ".join(words[i : i + n]) for n in (1, 2, 3) for i in range(len(words) - n + 1)}:
+            grams[gram] = grams.get(gram, 0) + 1
+    assert counted == set(grams.items())
+
+    block = fit_blocks(reviews, spec).blocks[0]
+    known = reviews.select("id", "content").where("content is not null")
+    plain = V.weigh(known, spec, block.index, frequent=block.frequent)
+    cells = lambda df: {(r.id, r.idx): (round(r.value, 12), r.scale) for r in df.collect()}
+    found = V.weigh_indexed(known, spec, block.index)
+    assert found.count() == plain.count() > 20 and cells(found) == cells(plain)
+    assert V.weigh_indexed(known, spec, block.index, most_terms=3) is None
+    # None of the terms: no cells.
+    assert V.weigh_indexed(known, spec, block.index.limit(0)).count() == 0
