@@ -42,7 +42,7 @@ MEMO_LONGEST = 256
 SLICE_BYTES = 4 << 20
 
 _PUNCTUATION = string.punctuation.encode()
-_ENTRY_BYTES = 200  # of a word in a dict, beside its bytes and those of its ids
+_ENTRY_BYTES = 150  # of a word in a dict, beside its bytes and those of its ids
 # Byte-level BPE puts characters from U+0100 on for bytes outside its printable ones.
 _HIDDEN = [*range(0x21), *range(0x7F, 0xA1), 0xAD]
 _SHIFTED = "".join(chr(0x100 + _HIDDEN.index(b) if b in _HIDDEN else b) for b in range(256))
@@ -50,6 +50,9 @@ _SHIFTED = "".join(chr(0x100 + _HIDDEN.index(b) if b in _HIDDEN else b) for b in
 _NORMALIZER = [("NFC", None), ("Replace", r"\s+"), ("Lowercase", None)]
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
+#: Words that Arrow may lower-case one character by one: letters up to U+017F, but U+0130, which becomes two.
+_LATIN = "^[A-Za-zÀ-ÖØ-öø-įı-ſ]+$"
+
 
 def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
@@ -73,20 +76,41 @@ def encodes_by_word(tokenizer) -> bool:
 
 def _values(strings: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each string of an array without nulls."""
-    _, offsets, data = strings.buffers()
-    at = np.frombuffer(offsets, np.int32)[strings.offset : strings.offset + len(strings) + 1].tolist() if len(strings) else [0]
-    raw = data.to_pybytes() if data else b""
+    at, raw = _offsets(strings).tolist(), strings.buffers()[2]
+    raw = raw.to_pybytes() if raw else b""
     return [raw[a:b] for a, b in zip(at, at[1:])]
 
 
+def _offsets(strings: pa.Array) -> np.ndarray:
+    return np.frombuffer(strings.buffers()[1], np.int32)[strings.offset : strings.offset + len(strings) + 1] if len(strings) else np.zeros(1, np.int32)
+
+
+def _tails(strings: pa.Array, lengths: np.ndarray) -> list[bytes]:
+    """The last bytes of each string, ``lengths`` of them."""
+    ends, raw = _offsets(strings)[1:], strings.buffers()[2]
+    raw = raw.to_pybytes() if raw else b""
+    return [raw[a:b] for a, b in zip((ends - lengths).tolist(), ends.tolist())]
+
+
+def _joined(made: list[bytes], at: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Ids of the pieces at the places ``at`` of a list of packed ids, and the size of each of these pieces."""
+    size = np.fromiter(map(len, made), np.int64, len(made)) // 4
+    return _taken(pa.array(np.frombuffer(b"".join(made), "<i4")), size, at), size[at]
+
+
+def _taken(ids: pa.Array, size: np.ndarray, at: np.ndarray) -> pa.Array:
+    offsets = pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int64())
+    return pa.LargeListArray.from_arrays(offsets, ids).take(pa.array(at)).flatten()
+
+
 class WordEncoder:
     """Ids of texts, equal to those of the tokenizer's own ``encode``.
 
     With a tokenizer that ``encodes_by_word``, each distinct word of a slice of
-    texts is encoded once: words of Latin letters and the punctuation behind
-    them go to the tokenizer's model directly, all others through its full
-    pipeline, and what came out is remembered. Any other tokenizer gets whole
-    texts.
+    texts is encoded once: words of Latin letters go to the tokenizer's model
+    directly, the punctuation behind them and all other words through its full
+    pipeline, and what came out is remembered, of words of Latin letters
+    without case and punctuation. Any other tokenizer gets whole texts.
     """
 
     def __init__(self, path: str, memo_bytes: int = MEMO_BYTES):
@@ -138,14 +162,42 @@ class WordEncoder:
         ids = self._remembered(key, self._letters)
         return ids + self._remembered(word[len(core) :], self._full) if len(core) < len(word) else ids
 
-    def words(self, words: list[bytes]) -> list[bytes]:
-        """Packed ids of each word; words hold no white space."""
+    def _each(self, words: list[bytes], make) -> list[bytes]:
         found = list(map(self.young.get, words))
         for i, ids in enumerate(found):
             if ids is None:
-                found[i] = self._remembered(words[i], self._word)
+                found[i] = self._remembered(words[i], make)
         return found
 
+    def words(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of each word; words hold no white space."""
+        return self._each(words, self._word)
+
+    def _distinct(self, words: pa.Array, end: int) -> tuple[pa.Array, np.ndarray]:
+        """Ids of all words, the id ``end`` as one more, and the number of ids of each."""
+        core = pc.ascii_rtrim(words, characters=string.punctuation)
+        latin = pc.match_substring_regex(core, _LATIN)
+        is_latin = latin.to_numpy(zero_copy_only=False)
+        core = core.filter(latin)
+        heads = pc.utf8_lower(core).dictionary_encode()
+        made = self._each(_values(heads.dictionary), self._letters)
+        first, second = np.empty(len(words) + 1, np.int64), np.empty(len(words) + 1, np.int64)
+        first[:-1][is_latin] = heads.indices.to_numpy()
+
+        words_of_letters = words.filter(latin)
+        length = np.diff(_offsets(words_of_letters)) - np.diff(_offsets(core))
+        behind = pa.array(_tails(words_of_letters, length), pa.binary()).dictionary_encode()
+        second[:-1][is_latin] = len(made) + behind.indices.to_numpy()
+        made += [self._remembered(tail, self._full) if tail else b"" for tail in behind.dictionary.to_pylist()]
+
+        first[:-1][~is_latin] = len(made) + np.arange(len(words) - len(core))
+        made += self.words(_values(words.filter(pc.invert(latin))))
+        made += [_packed([end]), b""]
+        first[-1], second[-1] = len(made) - 2, len(made) - 1
+        second[:-1][~is_latin] = len(made) - 1
+        ids, size = _joined(made, np.column_stack([first, second]).ravel())
+        return ids, size.reshape(-1, 2).sum(axis=1)
+
     def encode(self, text: bytes) -> bytes:
         """Little-endian unsigned 32-bit ids of one text."""
         return b"".join(self.words(text.split())) if self.by_word else self._full(text)
@@ -156,19 +208,15 @@ class WordEncoder:
         if self.by_word:
             lists = pc.ascii_split_whitespace(texts)
             ends, words = np.cumsum(pc.list_value_length(lists).to_numpy()), lists.flatten().dictionary_encode()
-            made = self.words(_values(words.dictionary))
+            ids, size = self._distinct(words.dictionary, end)
             at = words.indices.to_numpy()
         else:
-            made = [self._full(t) for t in _values(texts)]
-            at = np.arange(len(made), dtype=np.int32)
+            at = np.arange(len(texts))
+            ids, size = _joined([*map(self._full, _values(texts)), _packed([end])], np.arange(len(texts) + 1))
             ends = at + 1
-        at = np.insert(at, ends, len(made))  # the end id is one more word
-        made.append(_packed([end]))
-        size = np.fromiter(map(len, made), np.int64, len(made)) // 4
-        offsets = pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int64())
-        taken = pa.LargeListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(made), "<i4"))).take(pa.array(at))
+        at = np.insert(at, ends, len(size) - 1)  # the end id is one more word
         written = np.concatenate([[0], np.cumsum(size[at])])[ends + np.arange(1, len(ends) + 1)]
-        return taken.flatten().to_numpy(), np.diff(written, prepend=0)
+        return _taken(ids, size, at).to_numpy(), np.diff(written, prepend=0)
 
 
 def _slices(column: pa.Array) -> Iterator[tuple[int, int]]:

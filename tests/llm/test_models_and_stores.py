@@ -195,6 +195,31 @@ def test_texts_are_encoded_as_by_the_library(monkeypatch):
         assert [len(x) for x in encoder.encode_all(column.slice(0, 0), 1)] == [0, 0]
 
 
+def test_letters_of_a_slice_are_encoded_as_by_the_library():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    full, encoder = Tokenizer.from_file(PATH), token_store.WordEncoder(PATH)
+    texts = [form.format(chr(c)) for c in range(0x260) for form in ("{}", "x{}Y.", "{0}{0}!?", "É{}")]
+    ids, sizes = encoder.encode_all(pa.array(texts), 1)
+    assert [p.tolist() for p in np.split(ids, np.cumsum(sizes)[:-1])] == [full.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+
+
+def test_forms_of_a_word_take_one_place_in_memory(monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(8)
+    words = sorted({"".join(rng.choices("abcdeéç", k=9)) for _ in range(600)})
+    encoder, asked = token_store.WordEncoder(PATH, memo_bytes=150_000), []
+    letters = encoder._letters
+    monkeypatch.setattr(encoder, "_letters", lambda key: asked.append(key) or letters(key))
+    for _ in range(3):
+        rng.shuffle(words)
+        forms = [form(w) for w in words for form in (str, str.capitalize, "{},".format, "{}.".format)]
+        encoder.encode_all(pa.array([" ".join(forms)]), 1)
+    assert sorted(k.decode("utf-8") for k in asked) == sorted(words)
+
+
 def test_token_files_round_trip(spark, folder):
     from tokenizers import Tokenizer
 
