@@ -26,6 +26,7 @@ from ratewise.operators import tfidf as V
 from ratewise.operators.features import categories
 from ratewise.operators.joins import lookup_join
 from ratewise.operators.ordering import with_position
+from ratewise.operators.randomized_svd import packed
 from ratewise.session import checkpointed, scratch_path
 
 
@@ -75,6 +76,19 @@ class FeatureIndex:
             made = made.unionByName(part)
         return made.select("id", "idx", (F.col("value") / F.col("scale")).alias("value"))
 
+    def packed(self, rows: DataFrame) -> DataFrame:
+        """(id, idx, value): ``cells`` of ``rows`` with those of an id in one row of arrays."""
+        used = [b for b in self.blocks if b.weight != 0]
+        texts, facts = ([b for b in used if (b.spec is not None) == kind] for kind in (True, False))
+        if len(texts) == 1:
+            b = texts[0]
+            known = rows.select("id", F.col(b.column).alias("content")).where(F.col("content").isNotNull())
+            others = FeatureIndex(facts).cells(rows) if facts else None
+            found = V.pack_indexed(known, b.spec, b.index, b.start, float(b.weight), others)
+            if found is not None:
+                return found
+        return packed(self.cells(rows))
+
     def scaled(self, train: DataFrame) -> FeatureIndex:
         """The same columns divided by their largest absolute values over ``train``."""
         made = []
